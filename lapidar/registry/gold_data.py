@@ -41,10 +41,10 @@ class Gold:
 
 
 def gold(spark: SparkSession, sf_dir: str) -> Gold:
-    return _once(spark, sf_dir, "gold", lambda: _write_gold(spark, sf_dir))
+    return _once(spark, sf_dir, "gold", lambda: write_gold(spark, sf_dir))
 
 
-def _write_gold(spark: SparkSession, sf_dir: str) -> Gold:
+def write_gold(spark: SparkSession, sf_dir: str) -> Gold:
     tables = RetailTables(spark, sf_dir)
     lake = Lake(spark, scratch_dir(spark, "gold"))
     state = F.when(F.col(ACTIVE), ACTIVE_PART).otherwise("h1")

@@ -411,6 +411,12 @@ def oracle_queries() -> dict[str, str]:
     ).split()
     raw_orders = ", ".join(_BRONZE_COLUMNS[:-1])
     waves = f"SELECT * FROM fato_carga_1 UNION ALL SELECT * FROM fato WHERE id_pedido % 3 = 0"
+    marks = _all(
+        [
+            f"SELECT '{n}' AS fonte, CAST(max(_silver_processed_at) AS VARCHAR) AS marca FROM {n}"
+            for n in _TABLES[-3:]
+        ]
+    )
     bodies = {
         # scans, sources, sinks
         "scan_csv_raw": f"SELECT {raw_orders} FROM bronze_pedidos",
@@ -419,16 +425,16 @@ def oracle_queries() -> dict[str, str]:
         "CAST(id_categoria AS VARCHAR) AS id_categoria, nome_produto, "
         "CAST(preco_base AS VARCHAR) AS preco_base FROM produtos_2",
         "read_layer": "SELECT * FROM clientes_2",
-        "assert_not_empty_tables": _counts({n: _bound(n) for n in _TABLES}),
+        "assert_not_empty": _counts({n: _bound(n) for n in _TABLES}),
         "sink_append": "SELECT * FROM vendedores_1 UNION ALL SELECT * FROM vendedores_2",
         "sink_overwrite": "SELECT * FROM vendedores_2",
         "table_exists": _counts({**{n: n for n in _DIMS}, "fato_vendas": "fato"}),
         "local_rows": f"SELECT o_orderkey, o_orderstatus, CASE o_orderstatus WHEN 'F' THEN 'Concluído' "
         "WHEN 'O' THEN 'Pendente' WHEN 'P' THEN 'Cancelado' END AS status_pedido FROM orders",
         "compact_table": "SELECT * FROM dim_clientes",
-        "register_gold_views": "SELECT * FROM dim_vendedores WHERE registro_ativo",
+        "register_views": "SELECT * FROM dim_vendedores WHERE registro_ativo",
         "load_sql_views": "SELECT * FROM vw",
-        "gold_view_row_counts": _counts(
+        "gold_row_counts": _counts(
             {
                 **{n: f"(SELECT * FROM {n} WHERE registro_ativo)" for n in _DIMS},
                 "fato_vendas": "fato",
@@ -436,14 +442,14 @@ def oracle_queries() -> dict[str, str]:
             "tabela",
         ),
         # projections, filters, predicates
-        "bronze_audit_columns": f"""SELECT CAST(id_cliente AS VARCHAR) AS id_cliente, nome_completo, cpf,
+        "bronze_audit": f"""SELECT CAST(id_cliente AS VARCHAR) AS id_cliente, nome_completo, cpf,
             email, CAST(data_cadastro AS VARCHAR) AS data_cadastro,
             TIMESTAMP '{T1}' AS _ingestion_timestamp, 'clientes_raw.csv' AS _source_file,
             'clientes' AS _source_table FROM clientes_2""",
-        "processed_at_stamp": f"SELECT *, TIMESTAMP '{T2}' AS _silver_processed_at FROM clientes_2",
-        "dim_projection_rows": "SELECT md5(CAST(id_produto AS VARCHAR)) AS sk_produto, id_produto, "
+        "processed_at": f"SELECT *, TIMESTAMP '{T2}' AS _silver_processed_at FROM clientes_2",
+        "dim_projection": "SELECT md5(CAST(id_produto AS VARCHAR)) AS sk_produto, id_produto, "
         "nome_produto AS nome, preco_base AS preco FROM produtos_2",
-        "drop_null_keys": "SELECT * EXCLUDE (_source_table) FROM pedidos_tipados WHERE id_pedido IS NOT NULL",
+        "drop_null_key": "SELECT * EXCLUDE (_source_table) FROM pedidos_tipados WHERE id_pedido IS NOT NULL",
         "rule_not_null": "SELECT * FROM clientes_2 WHERE cpf IS NOT NULL AND email IS NOT NULL",
         "rule_in_set": "SELECT * EXCLUDE (_source_table) FROM pedidos_tipados "
         "WHERE status_pedido IN ('Concluído', 'Pendente', 'Cancelado')",
@@ -459,12 +465,12 @@ def oracle_queries() -> dict[str, str]:
             }
         ),
         "active_only": "SELECT * FROM dim_produtos WHERE registro_ativo",
-        "incremental_rows": f"SELECT * FROM pedidos WHERE _silver_processed_at > TIMESTAMP '{T1}'",
+        "incremental_filter": f"SELECT * FROM pedidos WHERE _silver_processed_at > TIMESTAMP '{T1}'",
         "version_history": "SELECT * FROM dim_clientes WHERE id_cliente = 7 ORDER BY data_inicio_vigencia",
         "status_filter": "SELECT * FROM pedidos WHERE status_pedido = 'Concluído'",
-        "fact_projection_rows": "SELECT * EXCLUDE (_gold_processed_at) FROM fato",
+        "fact_projection": "SELECT * EXCLUDE (_gold_processed_at) FROM fato",
         # joins
-        "dim_left_join_rows": "SELECT p.*, c.nome_categoria FROM produtos_2 p "
+        "dim_left_join": "SELECT p.*, c.nome_categoria FROM produtos_2 p "
         "LEFT JOIN categorias c ON c.id_categoria = p.id_categoria",
         "fact_inner_join": "SELECT i.* EXCLUDE (_silver_processed_at), p.id_cliente, p.status_pedido "
         "FROM itens_pedido i JOIN pedidos p ON p.id_pedido = i.id_pedido",
@@ -479,8 +485,8 @@ def oracle_queries() -> dict[str, str]:
             o.nome_produto AS nome_produto_anterior, o.preco_base AS preco_base_anterior,
             o.nome_categoria AS nome_categoria_anterior
             FROM snap_dim_produtos_2 s JOIN dim_produtos_inicial o ON o.id_produto = s.id_produto""",
-        "sales_star": "SELECT * FROM vw",
-        "star_sample": """SELECT f.id_pedido, f.data_pedido, c.nome_cliente, d.nome_produto,
+        "sales_star_view": "SELECT * FROM vw",
+        "star_inner_sample": """SELECT f.id_pedido, f.data_pedido, c.nome_cliente, d.nome_produto,
             f.valor_total_item, f.quantidade
             FROM fato f JOIN dim_clientes c ON c.sk_cliente = f.sk_cliente AND c.registro_ativo
             JOIN dim_produtos d ON d.sk_produto = f.sk_produto AND d.registro_ativo
@@ -488,8 +494,8 @@ def oracle_queries() -> dict[str, str]:
         "view_fact_reconcile": f"SELECT {_revenue('receita_direta')} FROM fato "
         "WHERE id_item IN (SELECT id_item FROM concluidos)",
         # aggregations
-        "payments_by_order": "SELECT * FROM pagos",
-        "max_watermarks": _all(
+        "payments_per_order": "SELECT * FROM pagos",
+        "max_watermark": _all(
             [
                 f"SELECT '{n}' AS fonte, max(_silver_processed_at) AS max_ts FROM {n}"
                 for n in _TABLES[-3:]
@@ -504,7 +510,7 @@ def oracle_queries() -> dict[str, str]:
         ),
         "duplicate_keys": "SELECT l_orderkey, l_linenumber, count(*) AS linhas FROM lineitem "
         "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
-        "distinct_pairs": "SELECT DISTINCT id_cliente, id_loja FROM pedidos",
+        "distinct_rows": "SELECT DISTINCT id_cliente, id_loja FROM pedidos",
         "count_distinct": _all(
             [
                 f"SELECT '{c}' AS coluna, count(DISTINCT {c}) AS distintos FROM fato"
@@ -515,7 +521,7 @@ def oracle_queries() -> dict[str, str]:
             [f"SELECT '{c}' AS coluna, count(*) - count({c}) AS nulos FROM fato" for c in fact_nulls]
         ),
         # windows, set operations
-        "latest_event_per_user": "SELECT * FROM events QUALIFY row_number() OVER "
+        "latest_per_key": "SELECT * FROM events QUALIFY row_number() OVER "
         "(PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
         "category_pareto": f"""SELECT nome_categoria, receita,
             CAST(receita AS DOUBLE) / CAST(sum(receita) OVER () AS DOUBLE) AS participacao,
@@ -527,15 +533,15 @@ def oracle_queries() -> dict[str, str]:
         "union_changes": f"SELECT s.* FROM {client_pairs} WHERE o.id_cliente IS NULL "
         f"UNION ALL SELECT s.* FROM {client_pairs} WHERE o.id_cliente IS NOT NULL AND {changed_clients}",
         # composite operators
-        "typed_cast_payments": "SELECT * FROM pagamentos_tipados",
-        "cast_loss": _all(
+        "typed_cast": "SELECT * FROM pagamentos_tipados",
+        "cast_loss_report": _all(
             [
                 f"SELECT '{c}' AS coluna, '{t}' AS tipo, count(*) AS perdidos FROM pedidos_recentes "
                 f"WHERE trim({c}) <> '' AND {cast} IS NULL"
                 for c, (t, cast) in bad_cells.items()
             ]
         ),
-        "quality_discards": f"""SELECT 'pedidos' AS tabela, count(*) AS lidas,
+        "quality_discard_report": f"""SELECT 'pedidos' AS tabela, count(*) AS lidas,
             count(*) FILTER (WHERE k IS NULL) AS sem_chave,
             count(*) FILTER (WHERE k IS NOT NULL AND ok = 0) AS contra_regra,
             count(*) FILTER (WHERE k IS NOT NULL AND ok = 1) AS validas,
@@ -543,7 +549,7 @@ def oracle_queries() -> dict[str, str]:
             FROM (SELECT k, {no_method} AS ok
                   FROM (SELECT {_int('id_pedido')} AS k, trim(status_pedido) AS status_pedido
                         FROM pedidos_recentes))""",
-        "silver_orders": "SELECT * FROM pedidos_silver",
+        "silver_build": "SELECT * FROM pedidos_silver",
         "bronze_build": _all(
             [
                 f"SELECT CAST(id_vendedor AS VARCHAR) AS id_vendedor, CAST(id_loja AS VARCHAR) AS id_loja, "
@@ -552,7 +558,7 @@ def oracle_queries() -> dict[str, str]:
                 for n, ts in ((1, T1), (2, T2))
             ]
         ),
-        "upsert_products": "SELECT * FROM produtos_1 UNION ALL SELECT * FROM produtos_2 "
+        "upsert": "SELECT * FROM produtos_1 UNION ALL SELECT * FROM produtos_2 "
         "WHERE id_produto NOT IN (SELECT id_produto FROM produtos_1)",
         "close_versions": f"""SELECT o.* REPLACE (
               CASE WHEN s.id_cliente IS NOT NULL AND {changed_clients} THEN TIMESTAMP '{T2}' END
@@ -591,12 +597,8 @@ def oracle_queries() -> dict[str, str]:
             SELECT 2, count(*) FROM pedidos WHERE _silver_processed_at = TIMESTAMP '{T2}'
             UNION ALL
             SELECT 3, count(*) FROM pedidos WHERE _silver_processed_at > TIMESTAMP '{T2}'""",
-        "fact_checkpoint": _all(
-            [
-                f"SELECT '{n}' AS fonte, CAST(max(_silver_processed_at) AS VARCHAR) AS marca FROM {n}"
-                for n in _TABLES[-3:]
-            ]
-        ),
+        "get_checkpoint": marks,
+        "save_checkpoint": marks,
         # integrity checks
         "validate_dimension_scd2": _all(
             [
@@ -637,7 +639,7 @@ def oracle_queries() -> dict[str, str]:
                 + _sk_checks(n, f"{n}_inicial", sk)
             ]
         ),
-        "qa_dashboard_checks": _dashboard_checks(),
+        "qa_dashboard": _dashboard_checks(),
         "silver_ready": _all(
             [
                 f"SELECT 'silver_ready' AS etapa, '{n}' AS tabela, "
@@ -674,24 +676,24 @@ def oracle_queries() -> dict[str, str]:
                   FROM vw GROUP BY mes, tipo_pagamento)
             ORDER BY mes, tipo_pagamento""",
         # streaming
-        "stream_bronze_files": f"SELECT {raw_orders}, 'pedidos' AS _source_table FROM bronze_pedidos",
-        "stream_silver": f"SELECT {raw_orders} FROM pedidos_silver",
-        "stream_sales_fact": "SELECT * FROM fato",
+        "stream_bronze": f"SELECT {raw_orders}, 'pedidos' AS _source_table FROM bronze_pedidos",
+        "stream_silver_upsert": f"SELECT {raw_orders} FROM pedidos_silver",
+        "stream_fact": "SELECT * FROM fato",
         # jobs
-        "run_layers": _counts(
+        "run_layer": _counts(
             {
                 **{n: _bound(n) for n in _TABLES},
                 "clientes": "(SELECT * FROM clientes_2 WHERE cpf IS NOT NULL AND email IS NOT NULL)",
             }
         ),
-        "run_dimension_jobs": _all(
+        "run_dimensions": _all(
             [
                 f"SELECT 'dimensoes' AS etapa, '{n}' AS tabela, "
                 f"CASE WHEN count(*) > 0 THEN 'ok' ELSE 'falha' END AS situacao FROM {n}"
                 for n in _DIMS
             ]
         ),
-        "run_all_layers": f"""{_FACT_SELECT}
+        "run_all": f"""{_FACT_SELECT}
             FROM itens_pedido i
             JOIN pedidos p ON p.id_pedido = i.id_pedido
             LEFT JOIN pagos g ON g.id_pedido = p.id_pedido

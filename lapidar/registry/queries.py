@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from lapidar.operators import checks, scd2
-from lapidar.operators.control import LAYER, get_checkpoint
+from lapidar.operators.control import LAYER, get_checkpoint, save_checkpoint
 from lapidar.operators.dedup import distinct_rows, latest_per_key, newest_first
 from lapidar.operators.facts import (
     fact_projection,
@@ -72,22 +72,28 @@ KEY_TYPES = {"id_item": "string"}
 ALL_SOURCES = ("pedidos", "itens_pedido", "pagamentos_pedido")
 
 
-def query(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """Register a query under its function name, with timestamps free of time zones."""
+def query(name: str) -> Callable[[Callable[[RetailTables], DataFrame]], Query]:
+    """Register a query; its timestamps come out free of time zones."""
 
-    @wraps(build)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_settings(spark)
-        df = build(RetailTables(spark, sf_dir))
-        zoned = {f.name for f in df.schema if isinstance(f.dataType, TimestampType)}
-        if not zoned:
-            return df
-        return df.select(
-            *[F.col(c).cast("timestamp_ntz").alias(c) if c in zoned else F.col(c) for c in df.columns]
-        )
+    def register(build: Callable[[RetailTables], DataFrame]) -> Query:
+        @wraps(build)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_settings(spark)
+            df = build(RetailTables(spark, sf_dir))
+            zoned = {f.name for f in df.schema if isinstance(f.dataType, TimestampType)}
+            if not zoned:
+                return df
+            return df.select(
+                *[
+                    F.col(c).cast("timestamp_ntz").alias(c) if c in zoned else F.col(c)
+                    for c in df.columns
+                ]
+            )
 
-    QUERIES[build.__name__] = run
-    return run
+        QUERIES[name] = run
+        return run
+
+    return register
 
 
 def _new_lake(t: RetailTables, name: str) -> Lake:
@@ -111,20 +117,20 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 # -- scans, sources, sinks -------------------------------------------------------------
 
 
-@query
-def scan_csv_raw(t):
+@query("scan_csv_raw")
+def _scan_csv_raw(t):
     root = scratch_dir(t.spark, "landing")
     write_landing(t.bronze_orders().select(*raw_schema("pedidos").names), root, "pedidos")
     return read_landing(t.spark, root, "pedidos")
 
 
-@query
-def extract_table(t):
+@query("extract_table")
+def _extract_table(t):
     return assert_not_empty(t.source("customer"), "customer")
 
 
-@query
-def sink_csv_landing(t):
+@query("sink_csv_landing")
+def _sink_csv_landing(t):
     """The second extraction replaces the first."""
     root = scratch_dir(t.spark, "landing")
     for snapshot in (1, 2):
@@ -132,45 +138,45 @@ def sink_csv_landing(t):
     return read_landing(t.spark, root, "produtos")
 
 
-@query
-def read_layer(t):
+@query("read_layer")
+def _read_layer(t):
     lake = _new_lake(t, "layer")
     lake.publish(t.table("clientes"), "silver", "clientes")
     return lake.read("silver", "clientes")
 
 
-@query
-def assert_not_empty_tables(t):
+@query("assert_not_empty")
+def _assert_not_empty(t):
     tables = {n: assert_not_empty(t.table(n), n) for n in PROCESSING_ORDER}
     return checks.row_counts(tables)
 
 
-@query
-def sink_append(t):
+@query("sink_append")
+def _sink_append(t):
     lake = _new_lake(t, "append")
     for snapshot in (1, 2):
         lake.append(t.table("vendedores", snapshot), "bronze", "vendedores")
     return lake.read("bronze", "vendedores")
 
 
-@query
-def sink_overwrite(t):
+@query("sink_overwrite")
+def _sink_overwrite(t):
     lake = _new_lake(t, "overwrite")
     for snapshot in (1, 2):
         lake.publish(t.table("vendedores", snapshot), "silver", "vendedores")
     return lake.read("silver", "vendedores")
 
 
-@query
-def table_exists(t):
+@query("table_exists")
+def _table_exists(t):
     """Rows of each gold table; a table nobody wrote does not exist."""
     lake = gold(t.spark, t.sf_dir).lake
     there = [n for n in (*DIMENSIONS, FACT, "fato_estoque") if lake.exists("gold", n)]
     return checks.row_counts({n: lake.read("gold", n) for n in there})
 
 
-@query
-def local_rows(t):
+@query("local_rows")
+def _local_rows(t):
     """Literal rows as lookup of all orders; an empty frame of the same schema adds nothing."""
     names = t.spark.createDataFrame(
         list(zip("FOP", ORDER_STATUS)), "o_orderstatus string, status_pedido string"
@@ -179,8 +185,8 @@ def local_rows(t):
     return orders.unionByName(orders.limit(0)).join(names, "o_orderstatus")
 
 
-@query
-def compact_table(t):
+@query("compact_table")
+def _compact_table(t):
     lake = _new_lake(t, "compact")
     rows = t.dimension("dim_clientes").repartition(16)
     lake.publish(rows, "gold", "dim_clientes")
@@ -188,23 +194,23 @@ def compact_table(t):
     return lake.read("gold", "dim_clientes")
 
 
-@query
-def register_gold_views(t):
+@query("register_views")
+def _register_views(t):
     g = gold(t.spark, t.sf_dir)
     register_views(t.spark, g.fact, g.dims)
     return t.spark.table("dim_vendedores")
 
 
-@query
-def load_sql_views(t):
+@query("load_sql_views")
+def _load_sql_views(t):
     g = gold(t.spark, t.sf_dir)
     register_views(t.spark, g.fact, g.dims)
     run_sql_script(t.spark, VIEW_SQL)
     return t.spark.table(VIEW)
 
 
-@query
-def gold_view_row_counts(t):
+@query("gold_row_counts")
+def _gold_row_counts(t):
     g = gold(t.spark, t.sf_dir)
     register_views(t.spark, g.fact, g.dims)
     return gold_row_counts(t.spark, [*DIMENSIONS, FACT])
@@ -219,20 +225,20 @@ def _landed(t: RetailTables, table: str) -> DataFrame:
     return read_landing(t.spark, root, table)
 
 
-@query
-def bronze_audit_columns(t):
+@query("bronze_audit")
+def _bronze_audit(t):
     rows = bronze_audit(_landed(t, "clientes"), "clientes", FIRST_LOAD)
     folder = F.regexp_extract("_source_file", r"([^/]+)/[^/]+$", 1)
     return rows.withColumn("_source_file", folder)
 
 
-@query
-def processed_at_stamp(t):
+@query("processed_at")
+def _processed_at(t):
     return processed_at(t.table("clientes"), "_silver_processed_at", SECOND_LOAD)
 
 
-@query
-def dim_projection_rows(t):
+@query("dim_projection")
+def _dim_projection(t):
     return dim_projection(
         t.table("produtos"), "id_produto", "sk_produto", nome="nome_produto", preco="preco_base"
     )
@@ -242,81 +248,81 @@ def _typed_orders(t: RetailTables) -> DataFrame:
     return typed_cast(t.bronze_orders(), table_schema("pedidos")).drop("_source_table")
 
 
-@query
-def drop_null_keys(t):
+@query("drop_null_key")
+def _drop_null_key(t):
     return drop_null_key(_typed_orders(t), "id_pedido")
 
 
-@query
-def rule_not_null(t):
+@query("rule_not_null")
+def _rule_not_null(t):
     return not_null("cpf", "email").apply(t.table("clientes"))
 
 
-@query
-def rule_in_set(t):
+@query("rule_in_set")
+def _rule_in_set(t):
     return in_set("status_pedido", ORDER_STATUS).apply(_typed_orders(t))
 
 
-@query
-def rule_positive(t):
+@query("rule_positive")
+def _rule_positive(t):
     typed = typed_cast(t.bronze_payments(), table_schema("pagamentos_pedido"))
     return positive("valor_pago").apply(typed).drop("_source_table")
 
 
-@query
-def rule_normalize(t):
+@query("rule_normalize")
+def _rule_normalize(t):
     return normalized("estado_loja").apply(t.table("lojas"))
 
 
-@query
-def rule_registry(t):
+@query("rule_registry")
+def _rule_registry(t):
     """Rows each table keeps under its own rule."""
     frames = {n: t.table(n) for n in PROCESSING_ORDER}
     frames["pedidos"] = _typed_orders(t)
     return checks.row_counts({n: apply_table_rule(df, n) for n, df in frames.items()})
 
 
-@query
-def active_only(t):
+@query("active_only")
+def _active_only(t):
     return scd2.active_only(gold(t.spark, t.sf_dir).dims["dim_produtos"])
 
 
-@query
-def incremental_rows(t):
+@query("incremental_filter")
+def _incremental_filter(t):
     return incremental_filter(t.table("pedidos"), "_silver_processed_at", FIRST_LOAD)
 
 
-@query
-def version_history(t):
+@query("version_history")
+def _version_history(t):
     return scd2.version_history(gold(t.spark, t.sf_dir).dims["dim_clientes"], "id_cliente", 7)
 
 
-@query
-def status_filter(t):
+@query("status_filter")
+def _status_filter(t):
     return kpis.completed(t.table("pedidos"))
 
 
-@query
-def fact_projection_rows(t):
+@query("fact_projection")
+def _fact_projection(t):
     return fact_projection(_fused_fact(t))
 
 
 # -- joins -----------------------------------------------------------------------------
 
 
-@query
-def dim_left_join_rows(t):
+@query("dim_left_join")
+def _dim_left_join(t):
     return dim_left_join(t.table("produtos"), t.table("categorias"), "id_categoria", "nome_categoria")
 
 
-@query
-def fact_inner_join(t):
+@query("fact_inner_join")
+def _fact_inner_join(t):
     orders = t.table("pedidos").select("id_pedido", "id_cliente", "status_pedido")
     return items_of_orders(t.table("itens_pedido").drop("_silver_processed_at"), orders)
 
 
-@query
-def fact_left_payments(t):
+@query("fact_left_payments")
+def _fact_left_payments(t):
     orders = t.table("pedidos").select("id_pedido", "id_cliente")
     joined = with_payments(orders, t.table("pagamentos_pedido"))
     return joined.withColumn(
@@ -324,8 +330,8 @@ def fact_left_payments(t):
     )
 
 
-@query
-def scd2_point_in_time(t):
+@query("scd2_point_in_time")
+def _scd2_point_in_time(t):
     """City and validity start of the client version at the order date."""
     dim = t.dimension("dim_clientes").withColumn("inicio", F.col(scd2.START))
     orders = t.table("pedidos").select("id_pedido", "id_cliente", "data_pedido")
@@ -334,48 +340,48 @@ def scd2_point_in_time(t):
     )
 
 
-@query
-def new_keys_anti(t):
+@query("new_keys_anti")
+def _new_keys_anti(t):
     dim = _first_dimension(t, "dim_clientes")
     return scd2.new_keys(dim, t.snapshot("dim_clientes", 2), "id_cliente")
 
 
-@query
-def matched_inner(t):
+@query("matched_inner")
+def _matched_inner(t):
     dim = _first_dimension(t, "dim_produtos")
     tracked = DIMENSIONS["dim_produtos"].tracked
     return scd2.matched_pairs(dim, t.snapshot("dim_produtos", 2), "id_produto", tracked)
 
 
-@query
-def sales_star(t):
+@query("sales_star_view")
+def _sales_star_view(t):
     return _view(t)
 
 
-@query
-def star_sample(t):
+@query("star_inner_sample")
+def _star_inner_sample(t):
     g = gold(t.spark, t.sf_dir)
     return star_inner_sample(g.fact, g.dims)
 
 
-@query
-def view_fact_reconcile(t):
+@query("view_fact_reconcile")
+def _view_fact_reconcile(t):
     return view_fact_revenue(gold(t.spark, t.sf_dir).fact, _view(t))
 
 
 # -- aggregations ----------------------------------------------------------------------
 
 
-@query
-def payments_by_order(t):
+@query("payments_per_order")
+def _payments_per_order(t):
     paid = payments_per_order(t.table("pagamentos_pedido"))
     return paid.withColumn(
         "valor_total_pago_pedido", F.col("valor_total_pago_pedido").cast("decimal(38,2)")
     )
 
 
-@query
-def max_watermarks(t):
+@query("max_watermark")
+def _max_watermark(t):
     return _union(
         [
             max_watermark(t.table(n), "_silver_processed_at").select(F.lit(n).alias("fonte"), "max_ts")
@@ -384,8 +390,8 @@ def max_watermarks(t):
     )
 
 
-@query
-def batch_row_count(t):
+@query("batch_row_count")
+def _batch_row_count(t):
     bronze = t.bronze_orders()
     return checks.row_counts(
         {
@@ -396,43 +402,43 @@ def batch_row_count(t):
     )
 
 
-@query
-def duplicate_keys(t):
+@query("duplicate_keys")
+def _duplicate_keys(t):
     return checks.duplicate_keys(t.source("lineitem"), "l_orderkey", "l_linenumber")
 
 
-@query
-def distinct_pairs(t):
+@query("distinct_rows")
+def _distinct_rows(t):
     return distinct_rows(t.table("pedidos").select("id_cliente", "id_loja"))
 
 
-@query
-def count_distinct(t):
+@query("count_distinct")
+def _count_distinct(t):
     fact = gold(t.spark, t.sf_dir).fact
     return checks.distinct_counts(fact, ["id_pedido", "sk_cliente", "id_item"])
 
 
-@query
-def null_counts(t):
+@query("null_counts")
+def _null_counts(t):
     return checks.null_counts(gold(t.spark, t.sf_dir).fact)
 
 
 # -- windows, sorts, set operations ----------------------------------------------------
 
 
-@query
-def latest_event_per_user(t):
+@query("latest_per_key")
+def _latest_per_key(t):
     events = t.source("events")
     return latest_per_key(events, "user_id", newest_first(events, "ts", "event_id"))
 
 
-@query
-def category_pareto(t):
+@query("category_pareto")
+def _category_pareto(t):
     return kpis.category_pareto(_view(t))
 
 
-@query
-def union_changes(t):
+@query("union_changes")
+def _union_changes(t):
     dim = _first_dimension(t, "dim_clientes")
     tracked = DIMENSIONS["dim_clientes"].tracked
     labelled = scd2.detect_changes(dim, t.snapshot("dim_clientes", 2), "id_cliente", tracked)
@@ -442,33 +448,33 @@ def union_changes(t):
 # -- composite operators ---------------------------------------------------------------
 
 
-@query
-def typed_cast_payments(t):
+@query("typed_cast")
+def _typed_cast(t):
     typed = typed_cast(t.bronze_payments(), table_schema("pagamentos_pedido"))
     return typed.drop("_source_table")
 
 
-@query
-def cast_loss(t):
+@query("cast_loss_report")
+def _cast_loss_report(t):
     """Values lost among the latest version of each order."""
     latest = latest_bronze(t.bronze_orders(), "pedidos")
     return cast_loss_report(latest, table_schema("pedidos"))
 
 
-@query
-def quality_discards(t):
+@query("quality_discard_report")
+def _quality_discard_report(t):
     latest = latest_bronze(t.bronze_orders(), "pedidos")
     typed = typed_cast(latest, table_schema("pedidos"))
     return quality_discard_report(typed, "pedidos", "id_pedido")
 
 
-@query
-def silver_orders(t):
+@query("silver_build")
+def _silver_build(t):
     return silver_build(t.bronze_orders(), "pedidos", SECOND_LOAD)
 
 
-@query
-def bronze_build(t):
+@query("bronze_build")
+def _bronze_build(t):
     """Two loads of the landing folder accumulate."""
     root = scratch_dir(t.spark, "landing")
     lake = _new_lake(t, "bronze")
@@ -478,14 +484,14 @@ def bronze_build(t):
     return lake.read("bronze", "vendedores").drop("_source_file")
 
 
-@query
-def upsert_products(t):
+@query("upsert")
+def _upsert(t):
     """Rows of the earlier state replace the later ones; keys only in the later state stay."""
     return upsert(t.table("produtos", 2), t.table("produtos", 1), "id_produto")
 
 
-@query
-def close_versions(t):
+@query("close_versions")
+def _close_versions(t):
     dim = _first_dimension(t, "dim_clientes")
     tracked = DIMENSIONS["dim_clientes"].tracked
     labelled = scd2.detect_changes(dim, t.snapshot("dim_clientes", 2), "id_cliente", tracked)
@@ -493,27 +499,27 @@ def close_versions(t):
     return scd2.close_versions(dim, changed, "id_cliente", SECOND_LOAD)
 
 
-@query
-def insert_missing(t):
+@query("insert_missing")
+def _insert_missing(t):
     dim = _first_dimension(t, "dim_clientes")
     return scd2.insert_missing(dim, t.snapshot("dim_clientes", 2), "id_cliente", SECOND_LOAD)
 
 
-@query
-def insert_versions(t):
+@query("insert_versions")
+def _insert_versions(t):
     dim = _first_dimension(t, "dim_lojas")
     return scd2.insert_versions(dim, t.snapshot("dim_lojas", 2), SECOND_LOAD)
 
 
-@query
-def detect_changes(t):
+@query("detect_changes")
+def _detect_changes(t):
     dim = _first_dimension(t, "dim_clientes")
     tracked = DIMENSIONS["dim_clientes"].tracked
     return scd2.detect_changes(dim, t.snapshot("dim_clientes", 2), "id_cliente", tracked)
 
 
-@query
-def scd2_apply(t):
+@query("scd2_apply")
+def _scd2_apply(t):
     """The mode in which keys first seen in a later load start with that load."""
     dim = DIMENSIONS["dim_clientes"]
     first = _first_dimension(t, "dim_clientes")
@@ -521,16 +527,16 @@ def scd2_apply(t):
     return scd2.scd2_apply(first, later, dim.key, dim.tracked, SECOND_LOAD, None)
 
 
-@query
-def scd2_incremental(t):
+@query("scd2_incremental")
+def _scd2_incremental(t):
     dim = DIMENSIONS["dim_produtos"]
     first = _first_dimension(t, "dim_produtos")
     later = t.snapshot("dim_produtos", 2)
     return scd2.scd2_incremental(first, later, dim.key, dim.tracked, SECOND_LOAD)
 
 
-@query
-def scd2_counts(t):
+@query("scd2_counts")
+def _scd2_counts(t):
     counts = []
     for name, dim in DIMENSIONS.items():
         first = _first_dimension(t, name)
@@ -543,16 +549,15 @@ def _dimension_query(name: str) -> None:
     def build(t: RetailTables) -> DataFrame:
         return t.dimension(name)
 
-    build.__name__ = name
-    query(build)
+    query(name)(build)
 
 
 for _name in DIMENSIONS:
     _dimension_query(_name)
 
 
-@query
-def item_total(t):
+@query("item_total")
+def _item_total(t):
     items = t.table("itens_pedido").select("id_item", "quantidade", "preco_unitario")
     return with_item_total(items).withColumn(
         "valor_total_item", F.col("valor_total_item").cast("decimal(38,2)")
@@ -570,28 +575,45 @@ def _plain_money(fact: DataFrame) -> DataFrame:
     return fact.withColumns({c: F.col(c).cast("decimal(38,2)") for c in money})
 
 
-@query
-def fato_vendas(t):
+@query("fato_vendas")
+def _fato_vendas(t):
     return _fused_fact(t)
 
 
-@query
-def fato_vendas_incremental(t):
+@query("fato_vendas_incremental")
+def _fato_vendas_incremental(t):
     """Two loads: the second brings further orders and changed dimensions."""
     lake = waves(t.spark, t.sf_dir).lake
     return _plain_money(lake.read("gold", FACT))
 
 
-@query
-def skip_when_no_orders(t):
+@query("skip_when_no_orders")
+def _skip_when_no_orders(t):
     """Orders rebuilt by three loads; the last one finds nothing new and writes nothing."""
     rebuilt = waves(t.spark, t.sf_dir).rebuilt
     rows = [(i + 1, n) for i, n in enumerate(rebuilt)]
     return t.spark.createDataFrame(rows, "carga int, pedidos bigint")
 
 
-@query
-def fact_checkpoint(t):
+@query("save_checkpoint")
+def _save_checkpoint(t):
+    """The second save replaces the first."""
+    lake = _new_lake(t, "control")
+    tops = _union(
+        [
+            max_watermark(t.table(n), "_silver_processed_at").select(
+                F.lit(n).alias("fonte"), F.col("max_ts").cast("string").alias("marca")
+            )
+            for n in ALL_SOURCES
+        ]
+    )
+    save_checkpoint(lake, FACT, get_checkpoint(lake, FACT, ALL_SOURCES))
+    save_checkpoint(lake, FACT, {r["fonte"]: r["marca"] for r in tops.collect()})
+    return lake.read(LAYER, FACT).select("fonte", "marca")
+
+
+@query("get_checkpoint")
+def _get_checkpoint(t):
     """Watermarks after the loads, as the next load reads them."""
     lake = waves(t.spark, t.sf_dir).lake
     marks = get_checkpoint(lake, FACT, ALL_SOURCES)
@@ -602,14 +624,14 @@ def fact_checkpoint(t):
 # -- integrity checks --------------------------------------------------------------------
 
 
-@query
-def validate_dimension_scd2(t):
+@query("validate_dimension_scd2")
+def _validate_dimension_scd2(t):
     dims = gold(t.spark, t.sf_dir).dims
     return _union([checks.dimension_scd2(dims[n], n, d.key) for n, d in DIMENSIONS.items()])
 
 
-@query
-def single_active(t):
+@query("single_active")
+def _single_active(t):
     dims = gold(t.spark, t.sf_dir).dims
     return _union(
         [
@@ -619,8 +641,8 @@ def single_active(t):
     )
 
 
-@query
-def validate_surrogate_key(t):
+@query("validate_surrogate_key")
+def _validate_surrogate_key(t):
     """Versions share their surrogate key, so changed dimensions report repeated ones."""
     dims = gold(t.spark, t.sf_dir).dims
     return _union(
@@ -628,13 +650,13 @@ def validate_surrogate_key(t):
     )
 
 
-@query
-def qa_fact(t):
+@query("qa_fact")
+def _qa_fact(t):
     return checks.fact_quality(gold(t.spark, t.sf_dir).fact)
 
 
-@query
-def qa_initial_load(t):
+@query("qa_initial_load")
+def _qa_initial_load(t):
     return _union(
         [
             checks.initial_load(_first_dimension(t, n), n, d.key, d.surrogate)
@@ -643,18 +665,18 @@ def qa_initial_load(t):
     )
 
 
-@query
-def qa_dashboard_checks(t):
+@query("qa_dashboard")
+def _qa_dashboard(t):
     return qa_dashboard(gold(t.spark, t.sf_dir).fact, _view(t))
 
 
-@query
-def silver_ready(t):
+@query("silver_ready")
+def _silver_ready(t):
     return jobs.silver_ready(waves(t.spark, t.sf_dir).lake)
 
 
-@query
-def persist_and_validate(t):
+@query("persist_and_validate")
+def _persist_and_validate(t):
     lake = _new_lake(t, "persist")
     for name in DIMENSIONS:
         lake.publish(t.dimension(name), "gold", name)
@@ -669,8 +691,7 @@ def _kpi(name: str, measure: Callable[[DataFrame], DataFrame], of_view: bool = F
     def build(t: RetailTables) -> DataFrame:
         return measure(_view(t) if of_view else gold(t.spark, t.sf_dir).fact)
 
-    build.__name__ = name
-    query(build)
+    query(name)(build)
 
 
 _kpi("receita_total", kpis.total_revenue)
@@ -684,8 +705,8 @@ _kpi("itens_por_pedido", kpis.items_per_order)
 _kpi("pedidos_por_metodo_mes", kpis.orders_by_method_and_month, of_view=True)
 
 
-@query
-def receita_por_categoria_direta(t):
+@query("receita_por_categoria_direta")
+def _receita_por_categoria_direta(t):
     """From the given tables to revenue by category in one plan: only the product
     dimension takes part, because the measure reads nothing else."""
     products = t.snapshot("dim_produtos", 2).select("id_produto", "nome_categoria")
@@ -700,8 +721,8 @@ def _run(stream) -> None:
     stream.awaitTermination()
 
 
-@query
-def stream_bronze_files(t):
+@query("stream_bronze")
+def _stream_bronze(t):
     """The second run finds no new file and adds nothing."""
     root, lake = scratch_dir(t.spark, "landing"), _new_lake(t, "stream")
     write_landing(t.bronze_orders().select(*raw_schema("pedidos").names), root, "pedidos")
@@ -710,8 +731,8 @@ def stream_bronze_files(t):
     return lake.read("bronze", "pedidos").select(*raw_schema("pedidos").names, "_source_table")
 
 
-@query
-def stream_silver(t):
+@query("stream_silver_upsert")
+def _stream_silver_upsert(t):
     lake = _new_lake(t, "stream")
     lake.append(t.bronze_orders(), "bronze", "pedidos")
     for _ in range(2):
@@ -719,8 +740,8 @@ def stream_silver(t):
     return lake.read("silver", "pedidos").select(*table_schema("pedidos").names)
 
 
-@query
-def stream_sales_fact(t):
+@query("stream_fact")
+def _stream_fact(t):
     """Raw orders, items and payments to the fact; dimensions are there already."""
     lake = _new_lake(t, "stream")
     for name in DIMENSIONS:
@@ -748,8 +769,8 @@ def _land_everything(t: RetailTables, root: str) -> None:
         write_landing(t.table(name).select(*raw_schema(name).names), root, name)
 
 
-@query
-def run_layers(t):
+@query("run_layer")
+def _run_layer(t):
     """Bronze and silver for all ten tables; rows per silver table."""
     root, lake = scratch_dir(t.spark, "landing"), _new_lake(t, "run")
     _land_everything(t, root)
@@ -760,14 +781,14 @@ def run_layers(t):
     return checks.row_counts({n: lake.read("silver", n) for n in PROCESSING_ORDER})
 
 
-@query
-def run_dimension_jobs(t):
+@query("run_dimensions")
+def _run_dimensions(t):
     """Status per dimension of a second run over unchanged silver tables."""
     return jobs.run_dimensions(waves(t.spark, t.sf_dir).lake, FACT_LOAD).drop("detalhe")
 
 
-@query
-def run_all_layers(t):
+@query("run_all")
+def _run_all(t):
     """CSV landing files to the fact, twice; the second run repeats no row."""
     root, lake = scratch_dir(t.spark, "landing"), _new_lake(t, "run")
     _land_everything(t, root)
