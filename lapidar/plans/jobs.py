@@ -215,15 +215,21 @@ def merge_fact(lake: Lake, order_ids: DataFrame, batch_ts: str) -> int:
         lake.publish_parts(fact, "gold", FACT, month_label("data_pedido"), [])
         return sources["pedidos"].count()
 
-    affected = order_ids.filter("id_pedido is not null").distinct().persist()
+    held = [order_ids.filter("id_pedido is not null").distinct().persist()]
+    affected = held[0]
     try:
         count = affected.count()
         if count == 0:
             return 0
+        near = near_keys(affected, "id_pedido")
         orders, items, payments = [
-            df.join(affected, "id_pedido", "left_semi") for df in sources.values()
+            df.filter(near).join(affected, "id_pedido", "left_semi") for df in sources.values()
         ]
-        old = lake.read("gold", FACT)
+        if count <= SMALL_BATCH:
+            orders, items = orders.persist(), items.persist()
+            held += [orders, items]
+            dims = _dimension_rows_of(dims, orders, items, payments)
+        old = lake.read("gold", FACT).filter(near)
         holding = old.select("id_pedido", "data_pedido").join(affected, "id_pedido", "left_semi")
         months = _labels(
             holding.select("data_pedido").unionByName(orders.select("data_pedido")),
@@ -237,7 +243,57 @@ def merge_fact(lake: Lake, order_ids: DataFrame, batch_ts: str) -> int:
         lake.publish_parts(rows, "gold", FACT, month_label("data_pedido"), months)
         return count
     finally:
-        affected.unpersist()
+        for df in held:
+            df.unpersist()
+
+
+# Up to this many orders, a load first cuts the dimensions down to the keys it needs.
+SMALL_BATCH = 5_000_000
+# Width and number of the key ranges that a load passes to its scans as a filter.
+NEAR_WIDTH = 1_000_000
+NEAR_RANGES = 200
+
+
+def near_keys(keys: DataFrame, key: str) -> Column:
+    """A filter that holds for all the keys and lets scans skip most other rows.
+
+    It names the ranges that contain a key, so Parquet leaves out row groups whose
+    statistics lie outside. Keys spread over too many ranges, or keys that are text,
+    get the filter "true": then the joins alone select the rows.
+    """
+    if isinstance(keys.schema[key].dataType, StringType):
+        return F.lit(True)
+    starts = (
+        keys.select((F.floor(F.col(key) / NEAR_WIDTH) * NEAR_WIDTH).alias("start"))
+        .distinct()
+        .limit(NEAR_RANGES + 1)
+        .collect()
+    )
+    if len(starts) > NEAR_RANGES:
+        return F.lit(True)
+    ranges = [
+        (F.col(key) >= r["start"]) & (F.col(key) < r["start"] + NEAR_WIDTH) for r in starts
+    ]
+    return reduce(Column.__or__, ranges)
+
+
+def _dimension_rows_of(
+    dims: Mapping[str, DataFrame], orders: DataFrame, items: DataFrame, payments: DataFrame
+) -> dict[str, DataFrame]:
+    """Only the versions of keys that occur in the batch.
+
+    The batch's keys are the small side of these semi joins, so a large dimension is
+    filtered where it is read; the outer joins of the fact could not do that.
+    """
+    holder = {"id_produto": items, "id_metodo": payments}
+    return {
+        name: df.join(
+            holder.get(DIMENSIONS[name].key, orders).select(DIMENSIONS[name].key),
+            DIMENSIONS[name].key,
+            "left_semi",
+        )
+        for name, df in dims.items()
+    }
 
 
 def month_label(column: str) -> Column:

@@ -66,14 +66,25 @@ def sales_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
     return with_item_total(items_of_orders(lines, heads))
 
 
-def sales_star_view(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """The fact with the current attributes of its five dimensions (18 columns)."""
+def with_attributes(fact: DataFrame, dims: Mapping[str, DataFrame], *names: str) -> DataFrame:
+    """The fact with the current attributes of the named dimensions only.
+
+    A measure that reads one dimension joins one: Spark cannot drop the other left
+    joins of a wider view by itself, as it does not know that their keys are unique.
+    """
     rows = fact
-    for name, dim in DIMENSIONS.items():
+    for name in names:
+        dim = DIMENSIONS[name]
         current = active_only(dims[name]).select(dim.surrogate, *dim.tracked)
-        if name == "dim_vendedores":
-            current = current.drop("nome_loja")  # the store's own name is shown
         rows = rows.join(current, dim.surrogate, "left")
+    return rows
+
+
+def sales_star_view(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """The fact with the current attributes of its five dimensions (18 columns)."""
+    sellers = dims["dim_vendedores"].drop("nome_loja")  # the store's own name is shown
+    rows = with_attributes(fact, dims, *[n for n in DIMENSIONS if n != "dim_vendedores"])
+    rows = rows.join(active_only(sellers).select("sk_vendedor", "nome_vendedor"), "sk_vendedor", "left")
     return rows.select(
         "id_pedido",
         "id_item",

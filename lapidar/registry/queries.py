@@ -49,6 +49,7 @@ from lapidar.plans.sales import (
     sales_lines,
     sales_star_view,
     star_inner_sample,
+    with_attributes,
 )
 from lapidar.plans.silver import latest_bronze, silver_build
 from lapidar.registry.gold_data import gold, waves
@@ -432,11 +433,6 @@ def _latest_per_key(t):
     return latest_per_key(events, "user_id", newest_first(events, "ts", "event_id"))
 
 
-@query("category_pareto")
-def _category_pareto(t):
-    return kpis.category_pareto(_view(t))
-
-
 @query("union_changes")
 def _union_changes(t):
     dim = _first_dimension(t, "dim_clientes")
@@ -687,9 +683,10 @@ def _persist_and_validate(t):
 # -- KPIs and trends ---------------------------------------------------------------------
 
 
-def _kpi(name: str, measure: Callable[[DataFrame], DataFrame], of_view: bool = False) -> None:
+def _kpi(name: str, measure: Callable[[DataFrame], DataFrame], *dimensions: str) -> None:
     def build(t: RetailTables) -> DataFrame:
-        return measure(_view(t) if of_view else gold(t.spark, t.sf_dir).fact)
+        g = gold(t.spark, t.sf_dir)
+        return measure(with_attributes(g.fact, g.dims, *dimensions))
 
     query(name)(build)
 
@@ -698,11 +695,12 @@ _kpi("receita_total", kpis.total_revenue)
 _kpi("total_pedidos", kpis.total_orders)
 _kpi("ticket_medio", kpis.average_ticket)
 _kpi("clientes_unicos", kpis.unique_clients)
-_kpi("receita_por_categoria", kpis.revenue_by_category, of_view=True)
+_kpi("receita_por_categoria", kpis.revenue_by_category, "dim_produtos")
 _kpi("evolucao_mensal", kpis.monthly_revenue)
 _kpi("faturamento_bruto", kpis.gross_revenue)
 _kpi("itens_por_pedido", kpis.items_per_order)
-_kpi("pedidos_por_metodo_mes", kpis.orders_by_method_and_month, of_view=True)
+_kpi("pedidos_por_metodo_mes", kpis.orders_by_method_and_month, "dim_metodos_pagamento")
+_kpi("category_pareto", kpis.category_pareto, "dim_produtos")
 
 
 @query("receita_por_categoria_direta")
