@@ -28,6 +28,7 @@ def qa_dashboard(fact: DataFrame, view: DataFrame) -> DataFrame:
         F.sum("valor_total_item").alias("receita"), F.countDistinct("id_pedido").alias("pedidos")
     )
     revenue = kpis.total_revenue(view)
+    total = F.coalesce(F.sum("receita"), F.lit(0))
     return compare_measures(
         {
             "1_linhas_da_view": (view.agg(rows.alias("n")), fact.agg(rows.alias("n"))),
@@ -41,11 +42,8 @@ def qa_dashboard(fact: DataFrame, view: DataFrame) -> DataFrame:
                 kpis.average_ticket(view),
                 completed_orders.select(ratio(F.col("receita"), F.col("pedidos"))),
             ),
-            "6_soma_das_categorias": (
-                kpis.revenue_by_category(view).agg(F.sum("receita")),
-                revenue,
-            ),
-            "7_soma_dos_meses": (kpis.monthly_revenue(view).agg(F.sum("receita")), revenue),
+            "6_soma_das_categorias": (kpis.revenue_by_category(view).agg(total), revenue),
+            "7_soma_dos_meses": (kpis.monthly_revenue(view).agg(total), revenue),
             "8_id_item_unico": (
                 view.agg(rows.alias("n")),
                 view.select("id_item").distinct().agg(rows.alias("n")),

@@ -41,10 +41,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     Only a local master without that setting falls back to a folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the executors")
         base = tempfile.mkdtemp(prefix="lapidar-")
-        spark.sparkContext.setCheckpointDir(base)
+        context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,12 +1,12 @@
 """Layered tables as Parquet folders.
 
 Bronze tables are plain append folders. Every other table is a row of numbered
-folders ``v=<n>``: a load writes a new folder and never touches one that readers
+folders ``_v=<n>``: a load writes a new folder and never touches one that readers
 may hold open. Spark writes ``_SUCCESS`` as the last step of the job, and only
 folders that have it count, so a load that dies half-way leaves nothing visible
 and can simply run again.
 
-A table may be split by a label column ``part``. A load then writes only the
+A table may be split by a label, a folder level of its own. A load then writes only the
 parts it replaces; the other parts stay where the earlier load put them. Of the
 old contents nothing is moved or copied. One writer per table at a time.
 """
@@ -20,7 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PART = "part"
+PART = "_part"
+VERSION = "_v"
+REPLACED = "_replaced"
 _ALL = ""
 
 
@@ -38,7 +40,7 @@ class Lake:
 
     def exists(self, layer: str, table: str) -> bool:
         path = self.path(layer, table)
-        return self._is_plain(path) or bool(self._glob(f"{path}/v=*/_SUCCESS"))
+        return self._is_plain(path) or bool(self._glob(f"{path}/{VERSION}=*/_SUCCESS"))
 
     def read(self, layer: str, table: str, parts: Iterable[str] | None = None) -> DataFrame:
         """The current contents; ``parts`` restricts the scan to those folders."""
@@ -51,7 +53,7 @@ class Lake:
             current = {p: v for p, v in current.items() if p in wanted}
         if not current:
             raise FileNotFoundError(f"no data for {layer}.{table} below {path}")
-        folders = [f"{path}/v={v}" + (f"/{PART}={p}" if p else "") for p, v in current.items()]
+        folders = [f"{path}/{VERSION}={v}" + (f"/{PART}={p}" if p else "") for p, v in current.items()]
         return self.spark.read.parquet(*folders)
 
     def parts(self, layer: str, table: str) -> list[str]:
@@ -66,7 +68,7 @@ class Lake:
     def publish(self, df: DataFrame, layer: str, table: str) -> None:
         """Replace the whole table."""
         path = self.path(layer, table)
-        df.write.parquet(f"{path}/v={self._next_version(path)}")
+        df.write.parquet(f"{path}/{VERSION}={self._next_version(path)}")
 
     def publish_parts(
         self, df: DataFrame, layer: str, table: str, part: Column, replaced: Iterable[str]
@@ -77,11 +79,11 @@ class Lake:
         spreads a part that is too large for one task over several.
         """
         path = self.path(layer, table)
-        folder = f"{path}/v={self._next_version(path)}"
+        folder = f"{path}/{VERSION}={self._next_version(path)}"
         for label in ["none", *replaced]:
             # tells readers which earlier parts this version supersedes, also where
             # it has no rows for them
-            self._mkdirs(f"{folder}/replaced={label}")
+            self._mkdirs(f"{folder}/{REPLACED}={label}")
         (
             df.withColumn(PART, part)
             .hint("rebalance", PART)
@@ -100,8 +102,8 @@ class Lake:
             self.publish(self.read(layer, table).hint("rebalance"), layer, table)
             return
         path = self.path(layer, table)
-        folders = [f"{path}/v={v}/{PART}={p}" for p, v in current.items()]
-        df = self.spark.read.option("basePath", path).parquet(*folders).drop("v")
+        folders = [f"{path}/{VERSION}={v}/{PART}={p}" for p, v in current.items()]
+        df = self.spark.read.option("basePath", path).parquet(*folders).drop(VERSION)
         self.publish_parts(df, layer, table, F.col(PART).cast("string"), current)
 
     def file_count(self, layer: str, table: str) -> int:
@@ -115,12 +117,12 @@ class Lake:
 
     def _current(self, path: str) -> dict[str, int]:
         """Part label -> version that holds it, over the finished versions only."""
-        done = {_version(p) for p in self._glob(f"{path}/v=*/_SUCCESS")}
+        done = {_version(p) for p in self._glob(f"{path}/{VERSION}=*/_SUCCESS")}
         whole = set(done)
         dropped: dict[int, set[str]] = {}
         present: dict[int, set[str]] = {}
-        for folder, found in (("replaced", dropped), (PART, present)):
-            for p in self._glob(f"{path}/v=*/{folder}=*"):
+        for folder, found in ((REPLACED, dropped), (PART, present)):
+            for p in self._glob(f"{path}/{VERSION}=*/{folder}=*"):
                 found.setdefault(_version(p), set()).add(p.rsplit("=", 1)[1])
                 whole.discard(_version(p))
         current: dict[str, int] = {}
@@ -134,7 +136,7 @@ class Lake:
         return current
 
     def _next_version(self, path: str) -> int:
-        return max((_version(p) for p in self._glob(f"{path}/v=*")), default=0) + 1
+        return max((_version(p) for p in self._glob(f"{path}/{VERSION}=*")), default=0) + 1
 
     def _fs(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -150,4 +152,4 @@ class Lake:
 
 
 def _version(path: str) -> int:
-    return int(re.search(r"/v=(\d+)", path).group(1))
+    return int(re.search(rf"/{VERSION}=(\d+)", path).group(1))

@@ -60,10 +60,9 @@ def table_schema(table: str, key_types: Mapping[str, str] | None = None) -> Stru
     for a table with more than 2**31 keys."""
     check_table(table)
     key_types = key_types or {}
-    schema = StructType()
-    for field in StructType.fromDDL(COLUMNS[table]):
-        schema = schema.add(field.name, key_types.get(field.name, field.dataType))
-    return schema
+    declared = StructType.fromDDL(COLUMNS[table])
+    types = {f.name: key_types.get(f.name, f.dataType.simpleString()) for f in declared}
+    return StructType.fromDDL(", ".join(f"{name} {dtype}" for name, dtype in types.items()))
 
 
 def raw_schema(table: str) -> StructType:

@@ -1,0 +1,40 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from lapidar.session import get_session
+from lapidar.sources.lake import Lake
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = get_session(
+        "tests",
+        **{
+            "spark.master": "local[8]",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Lake(spark, str(tmp_path / "lake"))
+
+
+def rows(df, *columns):
+    """Rows as sorted tuples; NULL sorts first."""
+    df = df.select(*columns) if columns else df
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is not None, str(v)) for v in r])

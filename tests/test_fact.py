@@ -1,0 +1,196 @@
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from lapidar.operators.facts import payments_per_order, point_in_time_join
+from lapidar.plans.dimensions import DIMENSIONS
+from lapidar.plans.jobs import FACT_SOURCES, failures, load_fact, near_keys, run_all, run_layer, run_tables
+from lapidar.plans.sales import FACT, build_fact, sales_star_view
+from lapidar.sources.landing import write_landing
+from lapidar.sources.schemas import PROCESSING_ORDER, raw_schema
+
+DAY = "2024-05-10 00:00:00"
+
+
+def dims(spark):
+    made = {}
+    for name, d in DIMENSIONS.items():
+        columns = ", ".join(f"{c} string" for c in d.tracked)
+        df = spark.createDataFrame([(k, *["v"] * len(d.tracked)) for k in (1, 2)], f"{d.key} int, {columns}")
+        made[name] = df.select(
+            F.md5(F.col(d.key).cast("string")).alias(d.surrogate), "*",
+            F.lit("1900-01-01").cast("timestamp").alias("data_inicio_vigencia"),
+            F.lit(None).cast("timestamp").alias("data_fim_vigencia"),
+            F.lit(True).alias("registro_ativo"),
+        )
+    return made
+
+
+def orders(spark, *data):
+    rows_ = [(k, 1, 1, 1, datetime.fromisoformat(day), status, datetime.fromisoformat(seen)) for k, day, status, seen in data]
+    return spark.createDataFrame(
+        rows_, "id_pedido int, id_cliente int, id_loja int, id_vendedor int, data_pedido timestamp, status_pedido string, _silver_processed_at timestamp")
+
+
+def items(spark, *data):
+    rows_ = [(i, o, 1, q, Decimal(p), datetime.fromisoformat(seen)) for i, o, q, p, seen in data]
+    return spark.createDataFrame(
+        rows_, "id_item int, id_pedido int, id_produto int, quantidade int, preco_unitario decimal(10,2), _silver_processed_at timestamp")
+
+
+def payments(spark, *data):
+    rows_ = [(i, o, m, Decimal(v), datetime.fromisoformat(seen)) for i, o, m, v, seen in data]
+    return spark.createDataFrame(
+        rows_, "id_pagamento int, id_pedido int, id_metodo int, valor_pago decimal(10,2), _silver_processed_at timestamp")
+
+
+def test_validity_is_half_open(spark):
+    dim = spark.createDataFrame(
+        [(1, "old", datetime(1900, 1, 1), datetime(2024, 1, 1)), (1, "new", datetime(2024, 1, 1), None)],
+        "k int, sk string, data_inicio_vigencia timestamp, data_fim_vigencia timestamp")
+    facts = spark.createDataFrame(
+        [(1, datetime(2023, 12, 31, 23)), (1, datetime(2024, 1, 1)), (1, datetime(1800, 1, 1)), (9, datetime(2024, 1, 1)), (None, datetime(2024, 1, 1))],
+        "k int, t timestamp")
+    joined = point_in_time_join(facts, dim, "k", "t", "sk")
+    assert joined.count() == 5
+    assert rows(joined.filter("k = 1"), "t", "sk") == sorted([
+        (datetime(1800, 1, 1), None), (datetime(2023, 12, 31, 23), "old"), (datetime(2024, 1, 1), "new")],
+        key=lambda r: str(r[0]))
+    assert joined.filter("k is null or k = 9").filter("sk is null").count() == 2
+
+
+def test_first_payment_decides_the_method(spark):
+    df = payments(spark, (2, 1, 7, "5.00", DAY), (1, 1, 3, "2.50", DAY), (3, 2, 4, "1.00", DAY))
+    assert rows(payments_per_order(df)) == [(1, Decimal("7.50"), 3), (2, Decimal("1.00"), 4)]
+
+
+def test_fact_has_one_row_per_item_of_a_known_order(spark):
+    fact = build_fact(
+        orders(spark, (1, DAY, "Concluído", DAY), (2, DAY, "Pendente", DAY)),
+        items(spark, (10, 1, 2, "3.50", DAY), (11, 1, 1, "1.00", DAY), (12, 9, 1, "1.00", DAY)),
+        payments(spark, (1, 1, 2, "8.00", DAY), (2, 1, 1, "0.50", DAY)),
+        dims(spark), DAY)
+    assert len(fact.columns) == 14
+    assert rows(fact, "id_item", "valor_total_item", "valor_total_pago_pedido") == [
+        (10, Decimal("7.00"), Decimal("8.50")), (11, Decimal("1.00"), Decimal("8.50"))]
+    assert fact.filter("sk_cliente is null or sk_metodo <> md5('2')").count() == 0
+    view = sales_star_view(fact, dims(spark))
+    assert len(view.columns) == 18 and view.count() == 2
+
+
+def write_silver(lake, *frames):
+    for name, df in zip(FACT_SOURCES, frames):
+        lake.publish(df, "silver", name)
+
+
+def fact_rows(lake):
+    return rows(lake.read("gold", FACT), "id_item", "valor_total_item", "valor_total_pago_pedido", "status_pedido")
+
+
+@pytest.fixture
+def loaded(lake):
+    for name, df in dims(lake.spark).items():
+        lake.publish(df, "gold", name)
+    return lake
+
+
+def test_late_items_and_payments_reach_the_fact(loaded):
+    spark, d1, d2, d3 = loaded.spark, "2024-06-01", "2024-06-02", "2024-06-03"
+    o = orders(spark, (1, DAY, "Pendente", d1), (2, "2024-07-01", "Pendente", d1))
+    write_silver(loaded, o, items(spark, (10, 1, 1, "1.00", d1), (20, 2, 1, "2.00", d1)), payments(spark, (1, 1, 1, "1.00", d1)))
+    assert load_fact(loaded, d1) == 2
+    july = set(loaded.read("gold", FACT, ["m202407"]).inputFiles())
+    # an item one batch after its order, and a second payment
+    write_silver(
+        loaded, o,
+        items(spark, (10, 1, 1, "1.00", d1), (11, 1, 1, "3.00", d2), (20, 2, 1, "2.00", d1)),
+        payments(spark, (1, 1, 1, "1.00", d1), (2, 1, 1, "4.00", d2)))
+    assert load_fact(loaded, d2) == 1
+    assert fact_rows(loaded) == [
+        (10, Decimal("1.00"), Decimal("5.00"), "Pendente"), (11, Decimal("3.00"), Decimal("5.00"), "Pendente"),
+        (20, Decimal("2.00"), None, "Pendente")]
+    assert set(loaded.read("gold", FACT, ["m202407"]).inputFiles()) == july
+    files = loaded.read("gold", FACT).inputFiles()
+    assert load_fact(loaded, d3) == 0 and loaded.read("gold", FACT).inputFiles() == files
+
+
+def test_order_that_changes_month_moves(loaded):
+    spark, d1, d2 = loaded.spark, "2024-06-01", "2024-06-02"
+    i, p = items(spark, (10, 1, 1, "1.00", d1)), payments(spark, (1, 1, 1, "1.00", d1))
+    write_silver(loaded, orders(spark, (1, "2024-05-10", "Pendente", d1)), i, p)
+    load_fact(loaded, d1)
+    write_silver(loaded, orders(spark, (1, "2024-09-10", "Concluído", d2)), i, p)
+    assert load_fact(loaded, d2) == 1
+    assert loaded.parts("gold", FACT) == ["m202409"] and loaded.read("gold", FACT).count() == 1
+
+
+def test_replay_after_a_lost_checkpoint_repeats_nothing(loaded, monkeypatch):
+    spark, d1 = loaded.spark, "2024-06-01"
+    write_silver(loaded, orders(spark, (1, DAY, "Pendente", d1)), items(spark, (10, 1, 1, "1.00", d1)), payments(spark, (1, 1, 1, "1.00", d1)))
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr("lapidar.plans.jobs.save_checkpoint", crash)
+    with pytest.raises(RuntimeError):
+        load_fact(loaded, d1)
+    monkeypatch.undo()
+    before = fact_rows(loaded)
+    assert load_fact(loaded, d1) == 1 and fact_rows(loaded) == before
+
+
+def test_near_keys_filter_covers_all_keys(spark):
+    ids = spark.createDataFrame([(5,), (7_000_001,), (-1,)], "id_pedido int")
+    everything = spark.createDataFrame([(5,), (6,), (7_000_001,), (3_000_000,), (-1,), (None,)], "id_pedido int")
+    kept = rows(everything.filter(near_keys(ids, "id_pedido")))
+    assert {(5,), (7_000_001,), (-1,)} <= set(kept) and (3_000_000,) not in kept
+    wide = spark.range(0, 300_000_000, 1_000_000).select(F.col("id").alias("id_pedido"))
+    assert wide.filter(near_keys(wide, "id_pedido")).count() == 300
+
+
+def land(spark, root, status="Pendente"):
+    data = {
+        "categorias": [("1", "Casa")], "lojas": [("1", "Centro", " sp ")], "metodos_pagamento": [("1", "PIX")],
+        "clientes": [("1", "Ana", "123", "a@x", "2024-01-01"), ("2", "Bia", None, "b@x", "2024-01-01")],
+        "produtos": [("1", "1.0", "Mesa", "10.00")], "enderecos": [("1", "1", "sp", "SP")],
+        "vendedores": [("1", "1.0", "Rui")],
+        "pedidos": [("1", "1.0", "1", "1", "2024-05-10 10:00:00", status)],
+        "itens_pedido": [("1", "1", "1", "2", "10.00"), ("2", "1", "1", "0", "10.00")],
+        "pagamentos_pedido": [("1", "1", "1", "20.00", "2024-05-10 10:00:00")],
+    }
+    for name in PROCESSING_ORDER:
+        write_landing(spark.createDataFrame(data[name], raw_schema(name)), root, name)
+
+
+def test_landing_to_fact_and_again(spark, lake, tmp_path):
+    root = str(tmp_path / "landing")
+    land(spark, root)
+    report = run_all(lake, root, "2024-06-01 00:00:00")
+    assert failures(report) == [] and report.count() == 26
+    fact = lake.read("gold", FACT)
+    assert rows(fact, "id_item", "valor_total_item", "status_pedido") == [(1, Decimal("20.00"), "Pendente")]
+    assert fact.filter("sk_cliente is null or sk_loja is null or sk_metodo is null").count() == 0
+    assert lake.read("silver", "clientes").count() == 1
+    assert rows(lake.read("gold", "dim_lojas"), "estado_loja") == [("SP",)]
+    land(spark, root, "Concluído")
+    assert failures(run_all(lake, root, "2024-06-02 00:00:00")) == []
+    assert lake.read("bronze", "pedidos").count() == 2
+    assert rows(lake.read("gold", FACT), "id_item", "status_pedido") == [(1, "Concluído")]
+
+
+def test_failed_table_is_reported_and_others_go_on(spark, lake, tmp_path):
+    def action(table):
+        if table == "b":
+            raise ValueError("bad")
+        return 1
+
+    report = run_tables(spark, "x", ["a", "b", "c"], action)
+    assert failures(report) == ["b"]
+    assert rows(report.filter("situacao = 'ok'"), "tabela") == [("a",), ("c",)]
+    report = run_all(lake, str(tmp_path / "nowhere"), "2024-06-01")
+    assert len(failures(report)) == 10 and report.count() == 10
+    with pytest.raises(ValueError):
+        run_layer(lake, "ouro", "2024-06-01")
