@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapidar.operators.scd2 import ACTIVE, END, START
@@ -59,8 +59,13 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def single_active(dim: DataFrame, key: str) -> DataFrame:
-    """One row: keys with more than one active version, and whether there are none."""
+def single_active(dim: DataFrame | None, key: str) -> DataFrame:
+    """One row: keys with more than one active version, and whether there are none.
+
+    A table that does not exist (None) has no such key.
+    """
+    if dim is None:
+        return SparkSession.active().sql("SELECT 0L AS chaves_repetidas, true AS passou")
     many = duplicate_keys(dim.filter(F.col(ACTIVE)), key)
     return many.agg(F.count(F.lit(1)).alias("chaves_repetidas")).withColumn(
         "passou", F.col("chaves_repetidas") == 0
@@ -75,13 +80,15 @@ def dimension_scd2(
     All counts come from one aggregation per key followed by one over the keys, so the
     table is read once and only per-key partial counts are shuffled.
     """
+    exists = ("tabela_existe", F.lit(int(dim is not None)), F.lit(dim is not None))
     if dim is None:
-        raise IntegrityError(f"table {table!r} does not exist")
+        return _check_rows(SparkSession.active().range(1), table, [exists])
     missing = [c for c in (ACTIVE, START, END) if c not in dim.columns]
     required = [c for c in (required or [key, ACTIVE, START]) if c in dim.columns]
     per_key = [F.count(F.lit(1)).alias("n")]
     total = [F.coalesce(F.sum("n"), F.lit(0)).alias("linhas")]
     checks = [
+        exists,
         ("tabela_nao_vazia", F.col("linhas"), F.col("linhas") > 0),
         ("colunas_scd2_presentes", F.lit(len(missing)), F.lit(not missing)),
     ]

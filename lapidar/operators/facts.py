@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapidar.operators.scd2 import END, START
+from lapidar.operators.skew import salted_join
 
 # Columns of the fact, in order; the processing time follows them.
 FACT_COLUMNS = (
@@ -33,8 +36,11 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
     )
 
 
-def items_of_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
-    return items.join(orders, "id_pedido", "inner")
+def items_of_orders(
+    items: DataFrame, orders: DataFrame, hot_orders: Sequence = ()
+) -> DataFrame:
+    """Items with their order; the items of ``hot_orders`` are spread over several tasks."""
+    return salted_join(items, orders, "id_pedido", "id_item", hot_orders)
 
 
 def with_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from lapidar.operators.control import get_checkpoint, save_checkpoint
 from lapidar.operators.facts import incremental_filter, max_watermark
 from lapidar.operators.ingest import bronze_audit
 from lapidar.operators.merge import changed_rows, upsert
+from lapidar.operators.skew import hot_keys
 from lapidar.plans.dimensions import DIMENSIONS
 from lapidar.plans.sales import FACT, build_fact
 from lapidar.plans.silver import silver_build
@@ -160,11 +161,11 @@ def load_dimension(
 def persist_and_validate(lake: Lake, name: str, compact: bool = True) -> bool:
     """Compact a dimension and check its SCD2 invariants; False when a check fails."""
     try:
-        if not lake.exists("gold", name):
-            raise IntegrityError(f"table {name!r} does not exist")
-        if compact:
+        there = lake.exists("gold", name)
+        if there and compact:
             lake.compact("gold", name)
-        require_passed(dimension_scd2(lake.read("gold", name), name, DIMENSIONS[name].key))
+        dim = lake.read("gold", name) if there else None
+        require_passed(dimension_scd2(dim, name, DIMENSIONS[name].key))
         return True
     except IntegrityError:
         return False
@@ -211,7 +212,8 @@ def merge_fact(lake: Lake, order_ids: DataFrame, batch_ts: str) -> int:
     sources = {t: lake.read("silver", t) for t in FACT_SOURCES}
     dims = {name: lake.read("gold", name) for name in DIMENSIONS}
     if not lake.exists("gold", FACT):
-        fact = build_fact(*sources.values(), dims, batch_ts)
+        hot = hot_keys(sources["itens_pedido"], "id_pedido")
+        fact = build_fact(*sources.values(), dims, batch_ts, hot)
         lake.publish_parts(fact, "gold", FACT, month_label("data_pedido"), [])
         return sources["pedidos"].count()
 
@@ -235,7 +237,8 @@ def merge_fact(lake: Lake, order_ids: DataFrame, batch_ts: str) -> int:
             holding.select("data_pedido").unionByName(orders.select("data_pedido")),
             month_label("data_pedido"),
         )
-        rows = build_fact(orders, items, payments, dims, batch_ts)
+        hot = hot_keys(items, "id_pedido")
+        rows = build_fact(orders, items, payments, dims, batch_ts, hot)
         known = set(months) & set(lake.parts("gold", FACT))
         if known:
             kept = lake.read("gold", FACT, known).join(affected, "id_pedido", "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +32,14 @@ def build_fact(
     payments: DataFrame,
     dims: Mapping[str, DataFrame],
     batch_ts: str,
+    hot_orders: Sequence = (),
 ) -> DataFrame:
     """One row per order item with the surrogate keys valid at the order date.
 
     Four of the five dimension keys are properties of the order, so they are resolved
     per order, before the order meets its (several) items: these joins move the few
-    narrow order rows, and only the product join runs at item grain.
+    narrow order rows, and only the product join runs at item grain. ``hot_orders``,
+    from ``skew.hot_keys`` over the items, are spread in the join of items and orders.
     """
     enriched = with_payments(
         orders.select(
@@ -50,7 +52,9 @@ def build_fact(
         enriched = point_in_time_join(enriched, dims[name], dim.key, "data_pedido", dim.surrogate)
         enriched = enriched.drop(dim.key)
     rows = items_of_orders(
-        items.select("id_pedido", "id_item", "id_produto", "quantidade", "preco_unitario"), enriched
+        items.select("id_pedido", "id_item", "id_produto", "quantidade", "preco_unitario"),
+        enriched,
+        hot_orders,
     )
     product = DIMENSIONS["dim_produtos"]
     rows = point_in_time_join(
@@ -60,7 +64,7 @@ def build_fact(
 
 
 def sales_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Item amounts with order date and state, for measures that need no dimension."""
+    """Item amounts with order date and state, for measures that need no other order column."""
     lines = items.select("id_pedido", "id_produto", "quantidade", "preco_unitario")
     heads = orders.select("id_pedido", "data_pedido", "status_pedido")
     return with_item_total(items_of_orders(lines, heads))

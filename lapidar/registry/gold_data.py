@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapidar.operators.scd2 import ACTIVE
+from lapidar.operators.skew import hot_keys
 from lapidar.plans.dimensions import DIMENSIONS
 from lapidar.plans.jobs import ACTIVE_PART, FACT_SOURCES, load_dimension, load_fact, month_label
 from lapidar.plans.sales import FACT, build_fact
@@ -56,7 +57,8 @@ def write_gold(spark: SparkSession, sf_dir: str) -> Gold:
         list(pool.map(write, DIMENSIONS))
     dims = {name: lake.read("gold", name) for name in DIMENSIONS}
     sources = [tables.table(t) for t in FACT_SOURCES]
-    fact = build_fact(*sources, dims, FACT_LOAD)
+    hot = hot_keys(sources[1], "id_pedido")
+    fact = build_fact(*sources, dims, FACT_LOAD, hot)
     lake.publish_parts(fact, "gold", FACT, month_label("data_pedido"), [])
     return Gold(lake, lake.read("gold", FACT), dims)
 

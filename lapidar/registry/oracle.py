@@ -320,8 +320,9 @@ def _scd2_checks(table: str, frame: str, key: str, required: tuple[str, ...]) ->
         },
     }
     rows = [
-        f"SELECT '{table}' AS tabela, 'tabela_nao_vazia' AS verificacao, "
-        f"(SELECT count(*) FROM {frame}) AS medida, (SELECT count(*) FROM {frame}) > 0 AS passou",
+        f"SELECT '{table}' AS tabela, 'tabela_existe' AS verificacao, 1 AS medida, true AS passou",
+        f"SELECT '{table}', 'tabela_nao_vazia', (SELECT count(*) FROM {frame}), "
+        f"(SELECT count(*) FROM {frame}) > 0",
         f"SELECT '{table}', 'colunas_scd2_presentes', 0, true",
     ]
     return rows + [f"SELECT '{table}', '{n}', {q}, {q} = 0" for n, q in zero.items()]

@@ -34,6 +34,7 @@ from lapidar.operators.rules import (
     positive,
     quality_discard_report,
 )
+from lapidar.operators.skew import hot_keys
 from lapidar.operators.typing import cast_loss_report, typed_cast
 from lapidar.plans import jobs, kpis
 from lapidar.plans.dashboard_checks import qa_dashboard, view_fact_revenue
@@ -319,7 +320,8 @@ def _dim_left_join(t):
 @query("fact_inner_join")
 def _fact_inner_join(t):
     orders = t.table("pedidos").select("id_pedido", "id_cliente", "status_pedido")
-    return items_of_orders(t.table("itens_pedido").drop("_silver_processed_at"), orders)
+    items = t.table("itens_pedido").drop("_silver_processed_at")
+    return items_of_orders(items, orders, hot_keys(items, "id_pedido"))
 
 
 @query("fact_left_payments")
@@ -562,7 +564,9 @@ def _item_total(t):
 
 def _fused_fact(t: RetailTables) -> DataFrame:
     """From the given tables to the fact in one plan."""
-    fact = build_fact(*[t.table(n) for n in ALL_SOURCES], t.dimensions, FACT_LOAD)
+    orders, items, payments = [t.table(n) for n in ALL_SOURCES]
+    hot = hot_keys(items, "id_pedido")
+    fact = build_fact(orders, items, payments, t.dimensions, FACT_LOAD, hot)
     return _plain_money(fact)
 
 

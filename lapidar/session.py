@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot key even where that costs one more shuffle further up the plan
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Parquet is several times smaller on disk than in memory: without this, a table just
+    # under the broadcast limit on disk would be broadcast at many times that size
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
 }

@@ -25,7 +25,7 @@ def failed(report):
 
 def test_sound_dimension_passes(dim):
     report = checks.initial_load(dim, "dim", "id_cliente", "sk_cliente")
-    assert failed(report) == set() and report.count() == 9
+    assert failed(report) == set() and report.count() == 10
     require_passed(report)
     assert checks.single_active(dim, "id_cliente").first().passou
 

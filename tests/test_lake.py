@@ -4,7 +4,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from lapidar.operators.checks import IntegrityError
+from lapidar.operators.checks import IntegrityError, dimension_scd2, require_passed, single_active
+from lapidar.operators.scd2 import open_versions
 from lapidar.operators.control import EPOCH, get_checkpoint, save_checkpoint
 from lapidar.plans.jobs import persist_and_validate
 from lapidar.session import scratch_dir
@@ -135,8 +136,6 @@ def test_scratch_follows_the_session_setting(spark):
 
 
 def test_persist_and_validate(lake):
-    from lapidar.operators.scd2 import open_versions
-
     dim = open_versions(
         lake.spark.createDataFrame([(1, "Ana", "SP"), (2, "Bruno", "RJ")], "id_cliente bigint, nome_cliente string, cidade string"),
         "2024-01-01", "2024-01-01",
@@ -147,7 +146,8 @@ def test_persist_and_validate(lake):
     lake.publish(dim.union(dim.filter("id_cliente = 1")), "gold", "dim_clientes")
     assert not persist_and_validate(lake, "dim_clientes")
     assert not persist_and_validate(lake, "dim_lojas")
-    with pytest.raises(IntegrityError):
-        from lapidar.operators.checks import dimension_scd2
-
-        dimension_scd2(None, "dim_lojas", "id_loja")
+    missing = dimension_scd2(None, "dim_lojas", "id_loja")
+    assert rows(missing) == [("dim_lojas", "tabela_existe", 0, False)]
+    with pytest.raises(IntegrityError, match="tabela_existe"):
+        require_passed(missing)
+    assert single_active(None, "id_loja").first().passou

@@ -8,9 +8,15 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lapidar.operators.dedup import latest_per_key, newest_first
-from lapidar.operators.facts import incremental_filter, payments_per_order, point_in_time_join
+from lapidar.operators.facts import (
+    incremental_filter,
+    items_of_orders,
+    payments_per_order,
+    point_in_time_join,
+)
 from lapidar.operators.merge import upsert
 from lapidar.operators.scd2 import scd2_apply, scd2_step
+from lapidar.operators.skew import hot_keys, salted_join
 from lapidar.plans import kpis
 from lapidar.plans.sales import with_attributes
 from lapidar.registry.gold_data import gold
@@ -125,6 +131,40 @@ def test_hot_key_is_split_in_the_point_in_time_join(hot, setting):
     assert joined.count() == 300_000 and joined.filter("sk is null").count() == 0
 
 
+def test_hot_keys_are_found_and_bounded(hot):
+    facts, _ = hot
+    assert hot_keys(facts, "k", rows=1000) == [0]
+    assert hot_keys(facts, "k") == []
+    assert hot_keys(facts.filter("k < 0"), "k", rows=0) == []
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_equals_plain_join(hot, how):
+    facts, dim = hot
+    right = dim.filter("data_fim_vigencia is null and k % 2 = 0").select("k", "sk")
+    plain = facts.join(right, "k", how)
+    salted = salted_join(facts, right, "k", "filler", [0, 1, 99999], how)
+    assert salted.columns == plain.columns
+    assert plain.exceptAll(salted).count() == 0 and salted.count() == plain.count()
+
+
+def test_items_of_a_hot_order_spread_over_the_tasks(hot, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.enabled", "false")
+    setting("spark.sql.shuffle.partitions", "16")
+    items = hot[0].select(F.col("k").alias("id_pedido"), F.col("filler").alias("id_item"))
+    # partitioned by the order already, where AQE could not split it
+    orders = items.groupBy("id_pedido").agg(F.count("*").alias("itens"))
+
+    def largest_task(joined):
+        sizes = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count"))
+        return tuple(sizes.first())
+
+    assert largest_task(items_of_orders(items, orders))[0] > 100_000
+    largest, total = largest_task(items_of_orders(items, orders, hot_keys(items, "id_pedido", rows=1000)))
+    assert largest < 45_000 and total == 300_000
+
+
 def test_broadcast_and_shuffled_joins_agree(hot, setting):
     facts, dim = hot
     summary = lambda: rows(point_in_time_join(facts, dim, "k", "t", "sk").groupBy("sk").count())
