@@ -17,23 +17,30 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.001
 HOT_ROWS = 1_000_000
 SALTS = 64
+# Keys are first counted by hash bucket; this bounds the groups whatever the table's size.
+BUCKETS = 65_536
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_ROWS) -> list:
     """The keys with more than ``share`` of all rows and more than ``rows`` rows.
 
-    Two passes over one column, without a shuffle of its rows: the first finds at most
-    ``1 / share`` candidates, among them every key above the share, with counters of that
-    bounded number per task; the second counts the candidates exactly.
+    One pass over one column counts rows per hash bucket, combined before the shuffle. A
+    bucket can hold a hot key only if it is itself above the limits; only the keys of such
+    buckets (fewer than ``1 / share``) are counted, and without any the first pass is all.
     """
     keys = df.select(key).filter(F.col(key).isNotNull())
-    candidates = keys.stat.freqItems([key], share).first()[0]
-    if not candidates:
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+    sizes = keys.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).agg(
+        F.sum("n").alias("total"),
+        F.collect_list(F.when(F.col("n") > rows, F.struct("bucket", "n"))).alias("large"),
+    )
+    found = sizes.first()
+    least = max(share * (found.total or 0), rows)
+    large = [b.bucket for b in found.large if b.n > least]
+    if not large:
         return []
-    named = F.when(F.col(key).isin(list(candidates)), F.col(key))
-    counts = {r["k"]: r["n"] for r in keys.groupBy(named.alias("k")).agg(F.count("*").alias("n")).collect()}
-    least = max(share * sum(counts.values()), rows)
-    return sorted(k for k, n in counts.items() if k is not None and n > least)
+    counts = keys.filter(bucket.isin(large)).groupBy(key).agg(F.count("*").alias("n"))
+    return sorted(r[key] for r in counts.filter(F.col("n") > least).collect())
 
 
 def salted_join(
