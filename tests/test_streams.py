@@ -1,9 +1,7 @@
 from conftest import rows
-from pyspark.sql import functions as F
 
-from lapidar.plans.jobs import load_dimension
 from lapidar.plans.sales import FACT
-from lapidar.sources.landing import landing_path, write_landing
+from lapidar.sources.landing import landing_path
 from lapidar.sources.schemas import raw_schema
 from lapidar.streaming.streams import stream_bronze, stream_fact, stream_silver_upsert
 from test_fact import dims
