@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapidar.llm import exact_dedup, mixing, url_filter
+from lapidar.llm import bitsliced, exact_dedup, mixing, packing, url_filter
 from lapidar.llm.common import located, table
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(spark, table(spark, sf_dir, "documents"))
+
+
+def op4_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = F.pmod(F.col("vec_id"), F.lit(bitsliced.QUERIES_EVERY)) == 0
+    return bitsliced.top_k(table(spark, sf_dir, "embeddings"), every)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = mixing.sized(located(table(spark, sf_dir, "documents")))
     return mixing.mixed(sizes).select(
@@ -29,6 +38,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_packing": op3_packing,
+    "op4_bitsliced_topk": op4_bitsliced_topk,
     "op6_mixing": op6_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
