@@ -31,6 +31,8 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # many small stores: no disk is reserved ahead
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 FILES_PER_BATCH = 1000
 
