@@ -19,6 +19,24 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op8_warc": """
+        WITH hashed AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+        ), rows AS (
+            SELECT page_id, payload_bytes,
+                   array_to_string(list_transform(range(32), lambda k: substr(
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                       CAST(1 + ((CAST('0x' || substr(h, CAST(1 + 5 * (k // 4) AS BIGINT), 5) AS BIGINT)
+                                  >> CAST(15 - 5 * (k % 4) AS BIGINT)) & 31) AS BIGINT), 1)), '') AS payload_digest
+            FROM hashed
+        ), firsts AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM rows
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+        FROM firsts
+    """,
     "op9_exact_dedup": r"""
         WITH rows AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS normal FROM documents

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapidar.llm import bitsliced, exact_dedup, mixing, packing, url_filter
+from lapidar.llm import bitsliced, exact_dedup, html_extract, mixing, packing, url_filter, warc
 from lapidar.llm.common import located, table
 
 
+def op1_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(table(spark, sf_dir, "pages"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(spark, table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.archived(spark, table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rows = exact_dedup.exact_dedup(spark, table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -38,9 +47,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_mincut": op1_html_mincut,
     "op3_packing": op3_packing,
     "op4_bitsliced_topk": op4_bitsliced_topk,
     "op6_mixing": op6_mixing,
+    "op8_warc": op8_warc,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
 }
