@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapidar.llm import bitsliced, exact_dedup, html_extract, mixing, packing, url_filter, warc
+from lapidar.llm import bitsliced, exact_dedup, html_extract, mixing, order_minhash, packing, url_filter, warc
 from lapidar.llm.common import located, table
 
 
@@ -15,6 +15,11 @@ def op1_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extracted(table(spark, sf_dir, "pages"))
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rows = order_minhash.near_classes(spark, table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "class_id", "class_size", "kept")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(spark, table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_mincut": op1_html_mincut,
+    "op2_order_minhash": op2_order_minhash,
     "op3_packing": op3_packing,
     "op4_bitsliced_topk": op4_bitsliced_topk,
     "op6_mixing": op6_mixing,
