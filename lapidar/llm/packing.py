@@ -14,6 +14,7 @@ each by itself; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import array
 import bisect
 import functools
 import zlib
@@ -31,7 +32,7 @@ CAPACITY = 4096
 SEPARATOR = 1
 VOCABULARY = "word_bpe_49k.json"
 PIECES_PER_BUCKET = 100_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -43,39 +44,58 @@ def _tokenizer(path: str):
 
 
 class Encoder:
-    """Token ids of a text, put together from those of its words.
+    """Token ids of texts, put together from those of their words.
 
     White space ends every token of this vocabulary, so the words of a text can be encoded one by
-    one; each different word is encoded once while it is in the cache.
+    one. It folds A-Z, and a comma or full stop after a letter is a token of its own, so the cache's
+    misses are encoded without them.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS) -> None:
         self.tokenizer, self.cached, self.known = _tokenizer(path), cached, {}
 
-    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+    def _learn(self, words: set[bytes]) -> None:
+        parts = {}
+        for word in words:
+            stem, mark = word.lower(), b""
+            if stem[-1:] in (b",", b".") and stem[-2:-1].isalpha():
+                stem, mark = stem[:-1], stem[-1:]
+            parts[word] = stem, mark
+        new = list({p for pair in parts.values() for p in pair if p} - self.known.keys())
+        texts = [p.decode("utf-8", "replace") for p in new]
+        for word, found in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            self.known[word] = array.array("I", found.ids).tobytes()
+        self.known[b""] = b""
+        for word, (stem, mark) in parts.items():
+            self.known[word] = self.known[stem] + self.known[mark]
+
+    def ids(self, texts: list[bytes], at_once: int = 256) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > self.cached:
-            self.known = {}
-        for text in texts:
-            words = text.split()
-            new = [w for w in set(words) if w not in self.known]
-            found = self.tokenizer.encode_batch_fast(
-                [w.decode("utf-8", "replace") for w in new], add_special_tokens=False
-            )
-            for word, encoding in zip(new, found, strict=True):
-                self.known[word] = np.array(encoding.ids, dtype="<u4").tobytes()
-            yield b"".join(map(self.known.__getitem__, words))
+        for i in range(0, len(texts), at_once):
+            if len(self.known) > self.cached:
+                self.known = {}
+            split = [t.split() for t in texts[i : i + at_once]]
+            if unknown := set().union(*split) - self.known.keys():
+                self._learn(unknown)
+            for words in split:
+                yield b"".join(map(self.known.__getitem__, words))
+
+
+@functools.cache
+def _encoder(path: str) -> Encoder:
+    """One for each worker process: the cache outlives a task."""
+    return Encoder(path)
 
 
 def tokenise(batches: Iterator[pa.RecordBatch], path: str, capacity: int = CAPACITY) -> Iterator[pa.RecordBatch]:
     """doc_id and text in UTF-8 to pieces of at most ``capacity`` tokens."""
-    encoder, end = Encoder(path), np.array([SEPARATOR], dtype="<u4").tobytes()
+    encoder, end = _encoder(path), np.array([SEPARATOR], dtype="<u4").tobytes()
     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
     schema = pa.schema(list(zip((c.split()[0] for c in PIECE.split(", ")), kinds, strict=True)))
     for batch in batches:
         rows: list[tuple[int, int, int, int, int]] = []
         texts = batch.column("text")
-        for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids(x.as_py() for x in texts), strict=True):
+        for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids(texts.to_pylist()), strict=True):
             ids += end
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at : at + 4 * capacity]

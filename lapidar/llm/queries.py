@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapidar.llm import bitsliced, exact_dedup, html_extract, mixing, order_minhash, packing, url_filter, warc
+from lapidar.llm import bitsliced, exact_dedup, html_extract, mixing, order_minhash, packing, toxicity, url_filter, warc
 from lapidar.llm.common import located, table
 
 
@@ -36,6 +36,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = warc.archived(spark, table(spark, sf_dir, "pages"))
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_bitsliced_topk": op4_bitsliced_topk,
     "op6_mixing": op6_mixing,
+    "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
