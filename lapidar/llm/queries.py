@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapidar.llm import bitsliced, exact_dedup, html_extract, mixing, order_minhash, packing, toxicity, url_filter, warc
+from lapidar.llm import bitsliced, exact_dedup, html_extract, language_model, mixing, order_minhash, packing, toxicity, url_filter, warc
 from lapidar.llm.common import located, table
 
 
@@ -29,6 +29,10 @@ def op4_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.top_k(table(spark, sf_dir, "embeddings"), every)
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = mixing.sized(located(table(spark, sf_dir, "documents")))
     return mixing.mixed(sizes).select(
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_order_minhash": op2_order_minhash,
     "op3_packing": op3_packing,
     "op4_bitsliced_topk": op4_bitsliced_topk,
+    "op5_language_model": op5_language_model,
     "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
