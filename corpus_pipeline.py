@@ -6,25 +6,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapidar.llm import exact_dedup, mixing
+from lapidar.llm import exact_dedup, mixing, order_minhash, packing, toxicity
 from lapidar.llm.common import table, written
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the network, trained on the labels beside them, doesn't call toxic."""
+    return toxicity.accepted(spark, docs, sf_dir)
+
+
 def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts."""
     return exact_dedup.deduplicated(spark, docs)
 
 
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return order_minhash.deduplicated(spark, docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks for."""
     return mixing.mixture(spark, docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' tokens and their places in sequences."""
+    return packing.packed(spark, docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", reject_toxic),
     ("exact dedup", dedup_exact),
+    ("MinHash near-dedup", dedup_near),
     ("mixing", mix),
+    ("packing", pack),
 ]
-# Gated networks, hashes of Spark and a tokenizer are not SQL; the tests hold each stage against brute force.
+# A trained network, Spark's hashes and a tokenizer are not SQL; the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
