@@ -104,15 +104,20 @@ def log_ratios(counts: DataFrame) -> DataFrame:
     return rows.select("gram", (F.ln("p_allowed") - F.ln("p_blocked")).alias("ratio"))
 
 
+def runs_of(urls: DataFrame) -> DataFrame:
+    """``urls`` with a row for each run of three symbols. The symbols are a column: a run reads three of them."""
+    coded = urls.select("*", symbols(F.col("address")).alias("codes"))
+    return coded.select(*urls.columns, F.explode(grams(F.col("codes"))).alias("gram"))
+
+
 def scores(urls: DataFrame, ratios: DataFrame) -> DataFrame:
     """``urls`` (distinct ``address``, other columns) with score: the log-likelihood difference per symbol.
 
     ``ratios`` has 40^3 rows whatever the input, a bounded broadcast.
     """
     rest = [c for c in urls.columns if c != "address"]
-    runs = urls.select("*", F.explode(grams(symbols(F.col("address")))).alias("gram"))
     return (
-        runs.join(F.broadcast(ratios), "gram")
+        runs_of(urls).join(F.broadcast(ratios), "gram")
         .groupBy("address")
         .agg(*(F.first(c).alias(c) for c in rest), F.avg("ratio").alias("score"))
     )
@@ -143,10 +148,11 @@ def url_verdicts(spark: SparkSession, pages: DataFrame, rules=RULES) -> DataFram
     judged = judged.withColumns({"rule": rule, "says": says})
     # a rule's verdict depends on the address alone: the models see each address once
     urls = written(judged.groupBy("address").agg(F.first("says").alias("says")), "urls")
+    # few bytes, much work for each: not coalesced by size, and already dealt for the sum by address
+    urls = urls.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "address")
     kept_out = F.pmod(F.crc32("address"), F.lit(FOLDS)) == 0
     counts = (
-        urls.where(F.col("says").isNotNull() & ~kept_out)
-        .select("says", F.explode(grams(symbols(F.col("address")))).alias("gram"))
+        runs_of(urls.where(F.col("says").isNotNull() & ~kept_out))
         .groupBy("gram")
         .agg(F.count_if(F.col("says") == "allow").alias("allowed"), F.count_if(F.col("says") == "block").alias("blocked"))
     )
