@@ -37,7 +37,7 @@ WORD_ROWS, GRAM_ROWS = 1 << 13, 1 << 16
 LEAST_DOCUMENTS = 3
 GRAMS = (3, 4, 5)
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_WINDOWS = 1000, 3000, 64
-EPOCHS, STEPS, BATCH, RATE = 8, 600, 64, 0.01  # at least so many epochs and steps
+EPOCHS, STEPS, RESCORE, BATCH, RATE = 8, 600, 50, 64, 0.01  # at least so many epochs and steps
 FOLDS, HELD_OUT = 5, 0
 CACHED_WORDS, TOKENS, LANES = 150_000, 400_000, 4096
 FROM = 0.5
@@ -288,13 +288,14 @@ def train(toxic: list[list[list[bytes]]], clean: list[list[list[bytes]]], epochs
     known = {k: (v >= LEAST_DOCUMENTS).astype(np.float32) for k, v in known.items()}
     for k, seen in known.items():
         net[k] *= seen
-    epoch = 0
+    epoch, scored_at, best = 0, 0, None
     while epoch < epochs or step < STEPS:
         any_ = starts + random.integers(0, sizes)
         chosen = [np.stack([any_, np.arange(len(documents))])]
         if epoch:
-            odds = Scorer(net).window_odds(windows)[0]
-            best = starts + np.array([odds[s : s + n].argmax() for s, n in zip(starts, sizes, strict=True)])
+            if best is None or step - scored_at >= RESCORE:
+                odds, scored_at = Scorer(net).window_odds(windows)[0], step
+                best = starts + np.array([odds[s : s + n].argmax() for s, n in zip(starts, sizes, strict=True)])
             chosen = [np.stack([best, np.arange(len(documents))]), chosen[0][:, ~label]]
         window, document = random.permutation(np.concatenate(chosen, axis=1).T).T
         for i in range(0, len(window), BATCH):
