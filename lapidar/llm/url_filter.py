@@ -99,7 +99,7 @@ def log_ratios(counts: DataFrame) -> DataFrame:
         )
         p = F.lit(1.0 / N)
         for n, s, t in (("n1", "all", "t1"), ("n2", "s2", "t2"), (k, "s3", "t3")):
-            p = F.when(F.col(s) > 0, (F.col(n) + F.col(t) * p) / (F.col(s) + F.col(t))).otherwise(p)
+            p = F.when(F.col(s) > 0, F.try_divide(F.col(n) + F.col(t) * p, F.col(s) + F.col(t))).otherwise(p)
         rows = rows.withColumn(f"p_{k}", p).drop("n2", "n1", "all", "t3", "s3", "t2", "s2", "t1")
     return rows.select("gram", (F.ln("p_allowed") - F.ln("p_blocked")).alias("ratio"))
 
@@ -127,17 +127,19 @@ def threshold(scored: DataFrame) -> DataFrame:
     """One row with ``least``: the score from which a URL is allowed.
 
     ``scored``: score, verdict. Scores are counted in bins; the cut with the best balanced accuracy
-    wins, ties to the one nearest to 0. 0 where either verdict is missing.
+    wins, in the middle of the gap below its bin, ties to the one nearest to 0. 0 where either verdict
+    is missing.
     """
     bins = scored.groupBy(F.floor(F.col("score") * BINS_PER_UNIT).alias("bin")).agg(
         F.count_if(F.col("verdict") == "allow").alias("allowed"), F.count_if(F.col("verdict") == "block").alias("blocked")
     )
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     total = Window.partitionBy()
-    share = lambda k: F.coalesce(F.sum(k).over(below), F.lit(0)) / F.sum(k).over(total)
-    best = bins.select("bin", (1 - share("allowed") + share("blocked")).alias("rate"))
-    pick = F.max(F.struct("rate", (-F.abs("bin")).alias("near"), "bin"))
-    return best.where("rate IS NOT NULL").agg(F.coalesce(pick["bin"] / BINS_PER_UNIT, F.lit(0.0)).alias("least"))
+    share = lambda k: F.try_divide(F.coalesce(F.sum(k).over(below), F.lit(0)), F.sum(k).over(total))
+    lower = F.coalesce(F.lag("bin").over(Window.orderBy("bin")) + 1, F.col("bin"))
+    best = bins.select(((F.col("bin") + lower) / 2).alias("cut"), (1 - share("allowed") + share("blocked")).alias("rate"))
+    pick = F.max(F.struct("rate", (-F.abs("cut")).alias("near"), "cut"))
+    return best.where("rate IS NOT NULL").agg(F.coalesce(pick["cut"] / BINS_PER_UNIT, F.lit(0.0)).alias("least"))
 
 
 def url_verdicts(spark: SparkSession, pages: DataFrame, rules=RULES) -> DataFrame:
