@@ -17,6 +17,7 @@ from __future__ import annotations
 import array
 import bisect
 import functools
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,6 +39,7 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 @functools.cache
 def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
@@ -47,38 +49,23 @@ class Encoder:
     """Token ids of texts, put together from those of their words.
 
     White space ends every token of this vocabulary, so the words of a text can be encoded one by
-    one. It folds A-Z, and a comma or full stop after a letter is a token of its own, so the cache's
-    misses are encoded without them.
+    one; each different word is encoded once while it is in the cache.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS) -> None:
         self.tokenizer, self.cached, self.known = _tokenizer(path), cached, {}
 
-    def _learn(self, words: set[bytes]) -> None:
-        parts = {}
-        for word in words:
-            stem, mark = word.lower(), b""
-            if stem[-1:] in (b",", b".") and stem[-2:-1].isalpha():
-                stem, mark = stem[:-1], stem[-1:]
-            parts[word] = stem, mark
-        new = list({p for pair in parts.values() for p in pair if p} - self.known.keys())
-        texts = [p.decode("utf-8", "replace") for p in new]
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            self.known[word] = array.array("I", found.ids).tobytes()
-        self.known[b""] = b""
-        for word, (stem, mark) in parts.items():
-            self.known[word] = self.known[stem] + self.known[mark]
-
     def ids(self, texts: list[bytes], at_once: int = 256) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         for i in range(0, len(texts), at_once):
             if len(self.known) > self.cached:
                 self.known = {}
-            split = [t.split() for t in texts[i : i + at_once]]
-            if unknown := set().union(*split) - self.known.keys():
-                self._learn(unknown)
+            known, split = self.known, [t.split() for t in texts[i : i + at_once]]
+            new = list(set().union(*split) - known.keys())
+            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
+            known.update(zip(new, (array.array("I", x.ids).tobytes() for x in found), strict=True))
             for words in split:
-                yield b"".join(map(self.known.__getitem__, words))
+                yield b"".join(map(known.__getitem__, words))
 
 
 @functools.cache
