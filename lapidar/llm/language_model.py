@@ -115,7 +115,7 @@ class Block:
     def add(self, doc: int | None, held: bool, text: bytes) -> None:
         words = text.lower().split()
         numbers = self.numbers
-        for w in set(words) - numbers.keys():
+        for w in set(words).difference(numbers):
             numbers[w] = len(numbers)
         row = np.empty(len(words) + 1, dtype=np.int32)
         row[:-1] = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))

@@ -61,7 +61,7 @@ class Encoder:
             if len(self.known) > self.cached:
                 self.known = {}
             known, split = self.known, [t.split() for t in texts[i : i + at_once]]
-            new = list(set().union(*split) - known.keys())
+            new = list(set().union(*split).difference(known))
             found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
             known.update(zip(new, (array.array("I", x.ids).tobytes() for x in found), strict=True))
             for words in split:
