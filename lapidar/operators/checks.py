@@ -140,7 +140,7 @@ def fact_quality(fact: DataFrame, table: str = "fato_vendas") -> DataFrame:
     """Not empty, one row per item, positive totals, client and product resolved."""
     per_item = fact.groupBy("id_item").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("valor_total_item") <= 0).alias("invalidos"),
+        F.count_if(F.col("valor_total_item").isNull() | (F.col("valor_total_item") <= 0)).alias("invalidos"),
         F.count_if(F.col("sk_cliente").isNull()).alias("sem_cliente"),
         F.count_if(F.col("sk_produto").isNull()).alias("sem_produto"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,10 +37,10 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
 
 
 def items_of_orders(
-    items: DataFrame, orders: DataFrame, hot_orders: Sequence = ()
+    items: DataFrame, orders: DataFrame, hot_orders: Mapping | None = None
 ) -> DataFrame:
     """Items with their order; the items of ``hot_orders`` are spread over several tasks."""
-    return salted_join(items, orders, "id_pedido", "id_item", hot_orders)
+    return salted_join(items, orders, "id_pedido", "id_item", hot_orders or {})
 
 
 def with_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:

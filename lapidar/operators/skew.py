@@ -7,40 +7,24 @@ with their summed payments, does not; there the key is spread explicitly.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-# A key is spread when it has more than this share of the rows and more than this many,
-# over this many salts.
-HOT_SHARE = 0.001
+# A key with more rows than this is spread, over as many tasks as keep below it.
 HOT_ROWS = 1_000_000
-SALTS = 64
-# Keys are first counted by hash bucket; this bounds the groups whatever the table's size.
-BUCKETS = 65_536
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_ROWS) -> list:
-    """The keys with more than ``share`` of all rows and more than ``rows`` rows.
+def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> dict:
+    """Keys with more than ``rows`` rows, and how many tasks each needs.
 
-    One pass over one column counts rows per hash bucket, combined before the shuffle. A
-    bucket can hold a hot key only if it is itself above the limits; only the keys of such
-    buckets (fewer than ``1 / share``) are counted, and without any the first pass is all.
+    One pass over one column, counted with map-side combine; only the hot keys, at most
+    one for every ``rows`` rows of the table, reach the driver.
     """
-    keys = df.select(key).filter(F.col(key).isNotNull())
-    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS))
-    sizes = keys.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).agg(
-        F.sum("n").alias("total"),
-        F.collect_list(F.when(F.col("n") > rows, F.struct("bucket", "n"))).alias("large"),
-    )
-    found = sizes.first()
-    least = max(share * (found.total or 0), rows)
-    large = [b.bucket for b in found.large if b.n > least]
-    if not large:
-        return []
-    counts = keys.filter(bucket.isin(large)).groupBy(key).agg(F.count("*").alias("n"))
-    return sorted(r[key] for r in counts.filter(F.col("n") > least).collect())
+    counts = df.select(key).filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    return {r[key]: -(-r["n"] // rows) for r in counts.filter(F.col("n") > rows).collect()}
 
 
 def salted_join(
@@ -48,11 +32,10 @@ def salted_join(
     right: DataFrame,
     key: str,
     spread_by: str,
-    hot: Sequence,
+    hot: Mapping,
     how: str = "inner",
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Equi join that spreads the rows of hot keys over ``salts`` groups.
+    """Equi join that spreads the rows of hot keys; ``hot`` says over how many groups each.
 
     ``spread_by`` is a left column that varies within a key; hashing it gives the salt,
     so a task that runs again puts each row in the same group. Only the right rows of
@@ -61,11 +44,12 @@ def salted_join(
     """
     if not hot:
         return left.join(right, key, how)
-    is_hot = F.col(key).isin(list(hot))
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    every = F.array(*[F.lit(i) for i in range(salts)])
-    salted_left = left.withColumn("_salt", F.when(is_hot, salt).otherwise(0))
-    salted_right = right.withColumn(
-        "_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
-    )
+    schema = StructType([StructField("_hot", left.schema[key].dataType), StructField("_salts", LongType())])
+    salts = left.sparkSession.createDataFrame(list(hot.items()), schema)
+    of_left = left.join(salts, F.col(key) == F.col("_hot"), "left")
+    of_right = right.join(salts, F.col(key) == F.col("_hot"), "left")
+    every = F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)) - 1)
+    salt = F.pmod(F.xxhash64(spread_by), F.coalesce("_salts", F.lit(1)))
+    salted_left = of_left.withColumn("_salt", salt).drop("_hot", "_salts")
+    salted_right = of_right.withColumn("_salt", F.explode(every)).drop("_hot", "_salts")
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -35,16 +36,31 @@ from lapidar.sources.schemas import (
 )
 
 FACT_SOURCES = ("pedidos", "itens_pedido", "pagamentos_pedido")
+# Orders that an item or a payment has left: they are rebuilt like those it came to.
+MOVED = "pedidos_anteriores"
 ACTIVE_PART = "ativo"
 
 
 # -- bronze --------------------------------------------------------------------------
 
 
-def load_bronze(lake: Lake, landing: str, table: str, batch_ts: str) -> None:
-    """Append the landing files of a table with audit columns."""
-    raw = read_landing(lake.spark, landing, table)
-    lake.append(bronze_audit(raw, table, batch_ts), "bronze", table)
+def load_bronze(lake: Lake, landing: str, table: str, batch_ts: str) -> int | None:
+    """Append the landing files of a table with audit columns; returns the number of rows.
+
+    The batch time names the batch. Running it again replaces the batch as long as silver
+    has not taken it, and does nothing (None) once it has. A new batch must be later than
+    what silver has taken, or silver would pass it by.
+    """
+    label = "b" + "".join(c for c in batch_ts if c.isdigit())
+    mark = get_checkpoint(lake, f"silver_{table}", [table])[table]
+    if _instant(batch_ts) <= _instant(mark):
+        if lake.has_batch("bronze", table, label):
+            return None
+        raise ValueError(f"bronze {table}: batch time {batch_ts} is not later than {mark}, which silver has taken")
+    raw, seen = read_landing(lake.spark, landing, table), Observation()
+    rows = bronze_audit(raw, table, batch_ts).observe(seen, F.count(F.lit(1)).alias("linhas"))
+    lake.append(rows, "bronze", table, label)
+    return seen.get["linhas"]
 
 
 # -- silver --------------------------------------------------------------------------
@@ -73,9 +89,12 @@ def merge_silver(
     table: str,
     batch_ts: str,
     key_types: Mapping[str, str] | None = None,
+    moved_as: str | None = None,
 ) -> int:
     """Upsert bronze rows into silver; returns how many rows were new or changed.
 
+    ``moved_as`` labels the batch of orders that changed rows have left (``MOVED``).
+
     Rows equal to what silver holds are left alone. Of a table split by key only the
     touched parts are read and rewritten. A row whose newest version breaks a rule
     keeps its earlier silver version, and rows deleted at the source stay.
@@ -91,6 +110,7 @@ def merge_silver(
 
     key, columns = primary_key(table), table_schema(table).names
     rows = rows.persist()
+    changed = None
     try:
         touched = None if part is None else _labels(rows, part)
         known = None if part is None else set(touched) & set(lake.parts("silver", table))
@@ -104,15 +124,28 @@ def merge_silver(
         count = changed.count()
         if count == 0:
             return 0
+        if table in FACT_SOURCES[1:]:
+            # before silver is replaced: after a failure the next run finds them still
+            lake.append(_left_orders(target, changed, key, batch_ts), "silver", MOVED, moved_as)
         merged = upsert(target, changed, key)
         if part is None:
             lake.publish(merged, "silver", table)
         else:
             lake.publish_parts(merged, "silver", table, part, touched)
-        changed.unpersist()
         return count
     finally:
-        rows.unpersist()
+        for df in (rows, changed):
+            if df is not None:
+                df.unpersist()
+
+
+def _left_orders(old: DataFrame, new: DataFrame, key: str, batch_ts: str) -> DataFrame:
+    """Orders, as text, that rows of ``old`` belonged to and their new versions do not."""
+    now = new.select(key, F.col("id_pedido").alias("_now"))
+    moved = old.select(key, "id_pedido").join(now, key).filter("NOT id_pedido <=> _now AND id_pedido IS NOT NULL")
+    return moved.select(
+        F.col("id_pedido").cast("string").alias("id_pedido"), F.lit(batch_ts).cast("timestamp").alias("_silver_processed_at")
+    )
 
 
 def key_part(table: str, key_types: Mapping[str, str] | None = None) -> Column | None:
@@ -141,9 +174,8 @@ def load_dimension(
     """
     dim = DIMENSIONS[name]
     snapshot = dim.snapshot(*[assert_not_empty(lake.read("silver", t), t) for t in dim.inputs])
-    label = F.when(F.col(scd2.ACTIVE), ACTIVE_PART).otherwise(
-        F.lit("h" + "".join(c for c in batch_ts if c.isdigit()))
-    )
+    # a label of its own for each load, so that no load replaces another's closed versions
+    label = F.when(F.col(scd2.ACTIVE), ACTIVE_PART).otherwise(F.lit(f"h{lake.next_version('gold', name)}"))
     if not lake.exists("gold", name):
         first = scd2.scd2_apply(None, snapshot, dim.key, dim.tracked, batch_ts)
         lake.publish_parts(first, "gold", name, label, [ACTIVE_PART])
@@ -153,6 +185,9 @@ def load_dimension(
     labelled = scd2.detect_changes(active, snapshot, dim.key, dim.tracked)
     counts = scd2.change_counts(labelled).first().asDict()
     if counts["novos"] or counts["alterados"]:
+        last = _first_value(max_watermark(active, "_gold_processed_at"))
+        if last is not None and _instant(batch_ts) <= _instant(last):
+            raise ValueError(f"{name}: batch time {batch_ts} is not later than that of the last load, {last}")
         step = scd2.scd2_step(active, snapshot, dim.key, dim.tracked, batch_ts, late_keys_from)
         lake.publish_parts(step, "gold", name, label, [ACTIVE_PART])
     return counts
@@ -180,10 +215,11 @@ def load_fact(lake: Lake, batch_ts: str) -> int:
     Each source has its own watermark, so an item or payment that arrives after its
     order still reaches the fact. Returns the number of orders rebuilt.
     """
-    marks = get_checkpoint(lake, FACT, FACT_SOURCES)
+    sources = [*FACT_SOURCES, *([MOVED] if lake.exists("silver", MOVED) else [])]
+    marks = get_checkpoint(lake, FACT, sources)
     fresh = {
         t: incremental_filter(lake.read("silver", t), "_silver_processed_at", marks[t])
-        for t in FACT_SOURCES
+        for t in sources
     }
     tops = reduce(
         DataFrame.unionByName,
@@ -197,7 +233,10 @@ def load_fact(lake: Lake, batch_ts: str) -> int:
     new_marks = {r["fonte"]: r["marca"] for r in tops.collect() if r["marca"]}
     if not new_marks:
         return 0
-    affected = reduce(DataFrame.unionByName, [df.select("id_pedido") for df in fresh.values()])
+    key_type = fresh[FACT_SOURCES[0]].schema["id_pedido"].dataType
+    affected = reduce(
+        DataFrame.unionByName, [df.select(F.col("id_pedido").cast(key_type)) for df in fresh.values()]
+    )
     count = merge_fact(lake, affected, batch_ts)
     save_checkpoint(lake, FACT, {**marks, **new_marks})
     return count
@@ -227,10 +266,9 @@ def merge_fact(lake: Lake, order_ids: DataFrame, batch_ts: str) -> int:
         orders, items, payments = [
             df.filter(near).join(affected, "id_pedido", "left_semi") for df in sources.values()
         ]
-        if count <= SMALL_BATCH:
-            orders, items = orders.persist(), items.persist()
-            held += [orders, items]
-            dims = _dimension_rows_of(dims, orders, items, payments)
+        orders, items = orders.persist(), items.persist()
+        held += [orders, items]
+        dims = _dimension_rows_of(dims, orders, items, payments)
         old = lake.read("gold", FACT).filter(near)
         holding = old.select("id_pedido", "data_pedido").join(affected, "id_pedido", "left_semi")
         months = _labels(
@@ -250,8 +288,6 @@ def merge_fact(lake: Lake, order_ids: DataFrame, batch_ts: str) -> int:
             df.unpersist()
 
 
-# Up to this many orders, a load first cuts the dimensions down to the keys it needs.
-SMALL_BATCH = 5_000_000
 # Width and number of the key ranges that a load passes to its scans as a filter.
 NEAR_WIDTH = 1_000_000
 NEAR_RANGES = 200
@@ -261,21 +297,25 @@ def near_keys(keys: DataFrame, key: str) -> Column:
     """A filter that holds for all the keys and lets scans skip most other rows.
 
     It names the ranges that contain a key, so Parquet leaves out row groups whose
-    statistics lie outside. Keys spread over too many ranges, or keys that are text,
-    get the filter "true": then the joins alone select the rows.
+    statistics lie outside. Neighbouring ranges are one; where there are many, those with
+    the smallest gaps between them are joined. Text keys have no ranges: their filter is
+    "true", and the joins alone select the rows.
     """
     if isinstance(keys.schema[key].dataType, StringType):
         return F.lit(True)
     starts = (
         keys.select((F.floor(F.col(key) / NEAR_WIDTH) * NEAR_WIDTH).alias("start"))
         .distinct()
-        .limit(NEAR_RANGES + 1)
         .collect()
     )
-    if len(starts) > NEAR_RANGES:
-        return F.lit(True)
+    starts = sorted(r["start"] for r in starts if r["start"] is not None)
+    if not starts:
+        return F.lit(False)
+    gaps = sorted(((b - a, i) for i, (a, b) in enumerate(zip(starts, starts[1:])) if b - a > NEAR_WIDTH), reverse=True)
+    cuts = sorted(i + 1 for _, i in gaps[: NEAR_RANGES - 1])
     ranges = [
-        (F.col(key) >= r["start"]) & (F.col(key) < r["start"] + NEAR_WIDTH) for r in starts
+        (F.col(key) >= starts[a]) & (F.col(key) < starts[b - 1] + NEAR_WIDTH)
+        for a, b in zip([0, *cuts], [*cuts, len(starts)])
     ]
     return reduce(Column.__or__, ranges)
 
@@ -323,7 +363,7 @@ def run_tables(
         try:
             return step, table, "ok", str(action(table))
         except Exception as error:  # noqa: BLE001 - reported, see docstring
-            return step, table, "falha", f"{type(error).__name__}: {str(error)[:300]}"
+            return step, table, "falha", f"{type(error).__name__}: {error}"
 
     with ThreadPoolExecutor(workers) as pool:
         rows = list(pool.map(attempt, tables))
@@ -394,5 +434,9 @@ def _labels(rows: DataFrame, label: Column) -> list[str]:
     return [r[0] for r in rows.select(label.alias("label")).distinct().collect()]
 
 
+def _instant(text: str) -> datetime:
+    return datetime.fromisoformat(text)
+
+
 def _first_value(one_row: DataFrame) -> str | None:
     return one_row.select(F.col(one_row.columns[0]).cast("string")).first()[0]

@@ -17,7 +17,7 @@ _TABLES = (
     "categorias lojas metodos_pagamento clientes produtos enderecos vendedores pedidos "
     "itens_pedido pagamentos_pedido"
 ).split()
-_CAT = "CAST('0x' || substr(md5(p_type), 1, 7) AS INTEGER)"
+_CAT = "CAST('0x' || substr(md5(p_type), 1, 15) AS BIGINT)"
 _STATUS = "CASE o_orderstatus WHEN 'F' THEN 'Concluído' WHEN 'O' THEN 'Pendente' ELSE 'Cancelado' END"
 _ITEM = (
     "md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), "
@@ -55,10 +55,10 @@ def _master(n: int) -> dict[str, str]:
             FROM customer
             JOIN nation ON n_nationkey = {moved('c_custkey', 'c_nationkey')}
             JOIN region ON r_regionkey = n_regionkey
-            {known('c_custkey')} AND c_custkey % 13 <> 5
+            {known('c_custkey')}
             UNION ALL
             SELECT c_custkey * 2, c_custkey, 'ANTES', 'ANTIGA'
-            FROM customer {known('c_custkey')} AND c_custkey % 13 <> 5 AND c_custkey % 9 = 0""",
+            FROM customer {known('c_custkey')} AND c_custkey % 9 = 0""",
         f"lojas_{n}": f"""
             SELECT n_nationkey AS id_loja, n_name AS nome_loja, ' ' || lower(r_name) || ' ' AS estado_loja
             FROM nation JOIN region
@@ -69,7 +69,7 @@ def _master(n: int) -> dict[str, str]:
                    s_name AS nome_vendedor
             FROM supplier {known('s_suppkey')}""",
         f"metodos_pagamento_{n}": f"""
-            SELECT DISTINCT CAST(o_orderpriority[1] AS INTEGER) AS id_metodo,
+            SELECT DISTINCT CAST(split_part(o_orderpriority, '-', 1) AS BIGINT) AS id_metodo,
                    {"o_orderpriority" if first else "CASE WHEN o_orderpriority LIKE '3%' THEN o_orderpriority || ' (novo)' ELSE o_orderpriority END"}
                    AS tipo_pagamento
             FROM orders {"WHERE o_orderpriority NOT LIKE '5%'" if first else ''}""",
@@ -135,8 +135,8 @@ def _valid(alias: str, key: str, outer: str = "p") -> str:
 def _int(column: str) -> str:
     pattern = r"'^\s*([+-]?\d+)\.\d*\s*$'"
     return (
-        f"coalesce(TRY_CAST({column} AS INTEGER), "
-        f"TRY_CAST(regexp_extract({column}, {pattern}, 1) AS INTEGER))"
+        f"coalesce(TRY_CAST({column} AS BIGINT), "
+        f"TRY_CAST(regexp_extract({column}, {pattern}, 1) AS BIGINT))"
     )
 
 
@@ -169,6 +169,7 @@ def _ctes() -> dict[str, str]:
     }
     for name in _DIMS:
         ctes[f"{name}_inicial"] = f"SELECT {_opened('*', _ORIGIN, T1)} FROM snap_{name}_1"
+        ctes[f"{name}_completa"] = f"SELECT {_opened('*', _ORIGIN, T2)} FROM snap_{name}_2"
         ctes[name] = _two_loads(name)
     ctes["pedidos"] = f"""
         SELECT o_orderkey AS id_pedido, o_custkey AS id_cliente, o_orderkey % 25 AS id_loja,
@@ -183,14 +184,14 @@ def _ctes() -> dict[str, str]:
         FROM lineitem"""
     ctes["pagamentos_pedido"] = f"""
         SELECT o_orderkey * 2 AS id_pagamento, o_orderkey AS id_pedido,
-               CAST(o_orderpriority[1] AS INTEGER) AS id_metodo,
+               CAST(split_part(o_orderpriority, '-', 1) AS BIGINT) AS id_metodo,
                CAST(o_totalprice AS DECIMAL(10,2)) AS valor_pago, o_orderdate AS data_pagamento,
                {_batch('o_orderkey')} AS _silver_processed_at
-        FROM orders WHERE o_orderkey % 12 <> 7
+        FROM orders
         UNION ALL
-        SELECT o_orderkey * 2 + 1, o_orderkey, CAST(o_orderpriority[1] AS INTEGER) % 5 + 1,
+        SELECT o_orderkey * 2 + 1, o_orderkey, CAST(split_part(o_orderpriority, '-', 1) AS BIGINT) % 5 + 1,
                CAST(1 AS DECIMAL(10,2)), o_orderdate, {_batch('o_orderkey')}
-        FROM orders WHERE o_orderkey % 12 <> 7 AND o_orderkey % 8 = 0"""
+        FROM orders WHERE o_orderkey % 8 = 0"""
     ctes["pagos"] = """
         SELECT id_pedido, CAST(sum(valor_pago) AS DECIMAL(38,2)) AS valor_total_pago_pedido,
                arg_min(id_metodo, id_pagamento) AS id_metodo
@@ -262,7 +263,7 @@ def _ctes() -> dict[str, str]:
         WHERE id_pedido IS NOT NULL AND status_pedido IN ('Concluído', 'Pendente', 'Cancelado')"""
     ctes["bronze_pagamentos"] = f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS id_pagamento, CAST(o_orderkey AS VARCHAR) AS id_pedido,
-               o_orderpriority[1] AS id_metodo,
+               split_part(o_orderpriority, '-', 1) AS id_metodo,
                CASE WHEN o_orderkey % 8 = 0 THEN CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) || '5'
                     WHEN o_orderkey % 15 = 0 THEN 'R$ 10'
                     WHEN o_orderkey % 21 = 0 THEN '123456789.12'
@@ -273,8 +274,8 @@ def _ctes() -> dict[str, str]:
                TIMESTAMP '{T1}' AS _ingestion_timestamp, 'carga-1' AS _source_file
         FROM orders"""
     ctes["pagamentos_tipados"] = """
-        SELECT CAST(id_pagamento AS INTEGER) AS id_pagamento, CAST(id_pedido AS INTEGER) AS id_pedido,
-               CAST(id_metodo AS INTEGER) AS id_metodo,
+        SELECT CAST(id_pagamento AS BIGINT) AS id_pagamento, CAST(id_pedido AS BIGINT) AS id_pedido,
+               CAST(id_metodo AS BIGINT) AS id_metodo,
                TRY_CAST(valor_pago AS DECIMAL(10,2)) AS valor_pago,
                CAST(data_pagamento AS TIMESTAMP) AS data_pagamento, _ingestion_timestamp, _source_file
         FROM bronze_pagamentos"""
@@ -398,10 +399,10 @@ def oracle_queries() -> dict[str, str]:
         "snap_dim_clientes_2 s LEFT JOIN dim_clientes_inicial o ON o.id_cliente = s.id_cliente"
     )
     bad_cells = {
-        "id_pedido": ("int", _int("id_pedido")),
-        "id_cliente": ("int", _int("id_cliente")),
-        "id_loja": ("int", _int("id_loja")),
-        "id_vendedor": ("int", _int("id_vendedor")),
+        "id_pedido": ("bigint", _int("id_pedido")),
+        "id_cliente": ("bigint", _int("id_cliente")),
+        "id_loja": ("bigint", _int("id_loja")),
+        "id_vendedor": ("bigint", _int("id_vendedor")),
         "data_pedido": ("timestamp", "TRY_CAST(data_pedido AS TIMESTAMP)"),
     }
     no_method = "CASE WHEN status_pedido IN ('Concluído', 'Pendente', 'Cancelado') THEN 1 ELSE 0 END"
@@ -626,7 +627,7 @@ def oracle_queries() -> dict[str, str]:
             + [
                 f"SELECT 'fato_vendas', '{n}', count(*), count(*) = 0 FROM fato WHERE {w}"
                 for n, w in {
-                    "valor_total_item_positivo": "valor_total_item <= 0",
+                    "valor_total_item_positivo": "valor_total_item IS NULL OR valor_total_item <= 0",
                     "sk_cliente_preenchida": "sk_cliente IS NULL",
                     "sk_produto_preenchida": "sk_produto IS NULL",
                 }.items()
@@ -636,8 +637,8 @@ def oracle_queries() -> dict[str, str]:
             [
                 row
                 for n, (key, sk, _) in _DIMS.items()
-                for row in _scd2_checks(n, f"{n}_inicial", key, ("registro_ativo",))
-                + _sk_checks(n, f"{n}_inicial", sk)
+                for row in _scd2_checks(n, f"{n}_completa", key, ("registro_ativo",))
+                + _sk_checks(n, f"{n}_completa", sk)
             ]
         ),
         "qa_dashboard": _dashboard_checks(),

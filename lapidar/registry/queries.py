@@ -659,7 +659,9 @@ def _qa_fact(t):
 def _qa_initial_load(t):
     return _union(
         [
-            checks.initial_load(_first_dimension(t, n), n, d.key, d.surrogate)
+            checks.initial_load(
+                scd2.scd2_apply(None, t.snapshot(n, 2), d.key, d.tracked, SECOND_LOAD), n, d.key, d.surrogate
+            )
             for n, d in DIMENSIONS.items()
         ]
     )

@@ -1,6 +1,7 @@
 """Layered tables as Parquet folders.
 
-Bronze tables are plain append folders. Every other table is a row of numbered
+Bronze tables are rows of appended batches, each in a folder ``_lote=<label>`` that batch
+jobs and streams write alike; writing a batch again replaces it. Every other table is a row of numbered
 folders ``_v=<n>``: a load writes a new folder and never touches one that readers
 may hold open. Spark writes ``_SUCCESS`` as the last step of the job, and only
 folders that have it count, so a load that dies half-way leaves nothing visible
@@ -14,6 +15,7 @@ old contents nothing is moved or copied. One writer per table at a time.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 PART = "_part"
 VERSION = "_v"
 REPLACED = "_replaced"
+BATCH = "_lote"
 _ALL = ""
 
 
@@ -40,13 +43,13 @@ class Lake:
 
     def exists(self, layer: str, table: str) -> bool:
         path = self.path(layer, table)
-        return self._is_plain(path) or bool(self._glob(f"{path}/{VERSION}=*/_SUCCESS"))
+        return bool(self._batches(path)) or bool(self._glob(f"{path}/{VERSION}=*/_SUCCESS"))
 
     def read(self, layer: str, table: str, parts: Iterable[str] | None = None) -> DataFrame:
         """The current contents; ``parts`` restricts the scan to those folders."""
         path = self.path(layer, table)
-        if self._is_plain(path):
-            return self.spark.read.parquet(path)
+        if batches := self._batches(path):
+            return self.spark.read.parquet(*batches)
         current = self._current(path)
         if parts is not None:
             wanted = set(parts)
@@ -61,9 +64,16 @@ class Lake:
 
     # -- writing ---------------------------------------------------------------
 
-    def append(self, df: DataFrame, layer: str, table: str) -> None:
-        """Add a batch; earlier rows are never rewritten."""
-        df.write.mode("append").parquet(self.path(layer, table))
+    def append(self, df: DataFrame, layer: str, table: str, batch: str | None = None) -> None:
+        """Add a batch; other batches are never rewritten, one with the same label is replaced."""
+        label = batch or uuid.uuid4().hex
+        df.write.mode("overwrite").parquet(f"{self.path(layer, table)}/{BATCH}={label}")
+
+    def read_batch(self, layer: str, table: str, batch: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path(layer, table)}/{BATCH}={batch}")
+
+    def has_batch(self, layer: str, table: str, batch: str) -> bool:
+        return bool(self._glob(f"{self.path(layer, table)}/{BATCH}={batch}/_SUCCESS"))
 
     def publish(self, df: DataFrame, layer: str, table: str) -> None:
         """Replace the whole table."""
@@ -109,9 +119,13 @@ class Lake:
     def file_count(self, layer: str, table: str) -> int:
         return len(self.read(layer, table).inputFiles())
 
-    def _is_plain(self, path: str) -> bool:
-        """An append folder, filled by batch jobs or by a stream."""
-        return bool(self._glob(f"{path}/_SUCCESS") or self._glob(f"{path}/_spark_metadata"))
+    def next_version(self, layer: str, table: str) -> int:
+        """The number that the next write of the table gets."""
+        return self._next_version(self.path(layer, table))
+
+    def _batches(self, path: str) -> list[str]:
+        """Folders of the finished batches."""
+        return [p.rsplit("/", 1)[0] for p in self._glob(f"{path}/{BATCH}=*/_SUCCESS")]
 
     # -- folder names ----------------------------------------------------------
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from lapidar.sources.schemas import raw_schema
 
@@ -32,8 +33,14 @@ def read_landing(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def write_landing(df: DataFrame, root: str, table: str) -> str:
-    """Replace the landing copy of a table: a folder of headered CSV parts."""
+    """Replace the landing copy of a table: a folder of headered CSV parts.
+
+    Readers split the files at line ends, so a value with a line break fails the write.
+    """
     path = landing_path(root, table)
+    for column in (f.name for f in df.schema if isinstance(f.dataType, StringType)):
+        broken = F.raise_error(F.concat(F.lit(f"{table}.{column} holds a line break: "), F.col(column)))
+        df = df.withColumn(column, F.when(F.col(column).rlike("[\\r\\n]"), broken).otherwise(F.col(column)))
     df.write.mode("overwrite").options(**CSV).csv(path)
     return path
 
@@ -49,18 +56,23 @@ def extract_table(
     spark: SparkSession,
     url: str,
     table: str,
-    key: str | None = None,
-    bounds: tuple[int, int] | None = None,
-    partitions: int = 1,
+    key: str,
+    bounds: tuple[int, int],
+    partitions: int,
     **options: str,
 ) -> DataFrame:
-    """A whole database table over JDBC, read in parallel by ranges of ``key``."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    if key and bounds:
-        reader = (
-            reader.option("partitionColumn", key)
-            .option("lowerBound", bounds[0])
-            .option("upperBound", bounds[1])
-            .option("numPartitions", partitions)
-        )
+    """A whole database table over JDBC, read in parallel by ranges of ``key``.
+
+    Key, bounds and the number of partitions are required: without them one task would
+    pull the table. Rows outside the bounds belong to the first and the last range.
+    """
+    reader = (
+        spark.read.format("jdbc")
+        .option("url", url)
+        .option("dbtable", table)
+        .option("partitionColumn", key)
+        .option("lowerBound", bounds[0])
+        .option("upperBound", bounds[1])
+        .option("numPartitions", partitions)
+    )
     return assert_not_empty(reader.options(**options).load(), table)

@@ -9,18 +9,18 @@ from pyspark.sql.types import StringType, StructField, StructType
 # Table and column names and types of the source system. The first
 # column of each table is its primary key.
 COLUMNS = {
-    "categorias": "id_categoria INT, nome_categoria STRING",
-    "produtos": "id_produto INT, id_categoria INT, nome_produto STRING, preco_base DECIMAL(10,2)",
-    "clientes": "id_cliente INT, nome_completo STRING, cpf STRING, email STRING, data_cadastro DATE",
-    "enderecos": "id_endereco INT, id_cliente INT, estado STRING, cidade STRING",
-    "lojas": "id_loja INT, nome_loja STRING, estado_loja STRING",
-    "vendedores": "id_vendedor INT, id_loja INT, nome_vendedor STRING",
-    "metodos_pagamento": "id_metodo INT, tipo_pagamento STRING",
-    "pedidos": "id_pedido INT, id_cliente INT, id_loja INT, id_vendedor INT, "
+    "categorias": "id_categoria BIGINT, nome_categoria STRING",
+    "produtos": "id_produto BIGINT, id_categoria BIGINT, nome_produto STRING, preco_base DECIMAL(10,2)",
+    "clientes": "id_cliente BIGINT, nome_completo STRING, cpf STRING, email STRING, data_cadastro DATE",
+    "enderecos": "id_endereco BIGINT, id_cliente BIGINT, estado STRING, cidade STRING",
+    "lojas": "id_loja BIGINT, nome_loja STRING, estado_loja STRING",
+    "vendedores": "id_vendedor BIGINT, id_loja BIGINT, nome_vendedor STRING",
+    "metodos_pagamento": "id_metodo BIGINT, tipo_pagamento STRING",
+    "pedidos": "id_pedido BIGINT, id_cliente BIGINT, id_loja BIGINT, id_vendedor BIGINT, "
     "data_pedido TIMESTAMP, status_pedido STRING",
-    "itens_pedido": "id_item INT, id_pedido INT, id_produto INT, quantidade INT, "
+    "itens_pedido": "id_item BIGINT, id_pedido BIGINT, id_produto BIGINT, quantidade INT, "
     "preco_unitario DECIMAL(10,2)",
-    "pagamentos_pedido": "id_pagamento INT, id_pedido INT, id_metodo INT, "
+    "pagamentos_pedido": "id_pagamento BIGINT, id_pedido BIGINT, id_metodo BIGINT, "
     "valor_pago DECIMAL(10,2), data_pagamento TIMESTAMP",
 }
 
@@ -56,8 +56,7 @@ def check_table(table: str) -> None:
 
 
 def table_schema(table: str, key_types: Mapping[str, str] | None = None) -> StructType:
-    """Declared types. ``key_types`` overrides single columns, e.g. ``{"id_item": "bigint"}``
-    for a table with more than 2**31 keys."""
+    """Declared types. ``key_types`` overrides single columns, e.g. ``{"id_item": "string"}``."""
     check_table(table)
     key_types = key_types or {}
     declared = StructType.fromDDL(COLUMNS[table])

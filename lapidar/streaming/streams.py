@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lapidar.functions.expressions import tolerant_cast
 from lapidar.operators.ingest import AUDIT_COLUMNS
-from lapidar.plans.jobs import FACT_SOURCES, merge_fact, merge_silver
+from lapidar.plans.jobs import FACT_SOURCES, MOVED, merge_fact, merge_silver
 from lapidar.sources.lake import Lake
 from lapidar.sources.landing import CSV, landing_path
 from lapidar.sources.schemas import raw_schema, table_schema
@@ -24,8 +25,8 @@ def _now() -> str:
 def stream_bronze(lake: Lake, landing: str, table: str, checkpoint: str) -> StreamingQuery:
     """Append each new landing file to bronze exactly once.
 
-    The file sink keeps a log of finished micro-batches; batch readers of the folder
-    see only files in that log. The ingestion time is fixed per micro-batch.
+    Every micro-batch is a batch of the bronze table, beside those of batch loads; one that
+    is replayed replaces itself. The ingestion time is fixed per micro-batch.
     """
     files = (
         lake.spark.readStream.options(**CSV)
@@ -39,13 +40,13 @@ def stream_bronze(lake: Lake, landing: str, table: str, checkpoint: str) -> Stre
         F.col("_metadata.file_path").alias("_source_file"),
         F.lit(table).alias("_source_table"),
     )
-    return (
-        rows.writeStream.format("parquet")
-        .option("path", lake.path("bronze", table))
-        .option("checkpointLocation", f"{checkpoint}/bronze_{table}")
-        .trigger(availableNow=True)
-        .start()
-    )
+    place = f"{checkpoint}/bronze_{table}"
+    stream = hashlib.md5(place.encode()).hexdigest()
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        lake.append(batch, "bronze", table, f"s{stream}-{batch_id}")
+
+    return _for_each_batch(rows, load, place)
 
 
 def stream_silver_upsert(
@@ -78,7 +79,8 @@ def stream_fact(
     silver: replaying a micro-batch rebuilds the same orders to the same rows, and no
     order can be missed between two loads.
     """
-    union = None
+    place = f"{checkpoint}/fato_vendas"
+    name, union = hashlib.md5(place.encode()).hexdigest(), None
     for table in FACT_SOURCES:
         stream = _bronze_stream(lake, table)
         union = stream if union is None else union.unionByName(stream, allowMissingColumns=True)
@@ -87,24 +89,28 @@ def stream_fact(
         rows = rows.persist()
         try:
             batch_ts = clock()
+            label = {t: f"s{name}-{batch_id}-{t}" for t in FACT_SOURCES}
             for table in FACT_SOURCES:
                 columns = (*raw_schema(table).names, *AUDIT_COLUMNS)
                 of_table = rows.filter(F.col("_source_table") == table).select(*columns)
-                merge_silver(lake, of_table, table, batch_ts, key_types)
+                merge_silver(lake, of_table, table, batch_ts, key_types, label[table])
             order_type = table_schema("pedidos", key_types)["id_pedido"].dataType
             ids = rows.select(tolerant_cast("id_pedido", order_type).alias("id_pedido"))
+            # also those that its rows have left, noted now or by an earlier run of this micro-batch
+            for batch in filter(lambda b: lake.has_batch("silver", MOVED, b), label.values()):
+                ids = ids.unionByName(lake.read_batch("silver", MOVED, batch).select(F.col("id_pedido").cast(order_type)))
             merge_fact(lake, ids, batch_ts)
         finally:
             rows.unpersist()
 
-    return _for_each_batch(union, load, f"{checkpoint}/fato_vendas")
+    return _for_each_batch(union, load, place)
 
 
 def _bronze_stream(lake: Lake, table: str) -> DataFrame:
     schema = raw_schema(table).add("_ingestion_timestamp", "timestamp")
     for name in AUDIT_COLUMNS[1:]:
         schema = schema.add(name, "string")
-    return lake.spark.readStream.schema(schema).parquet(lake.path("bronze", table))
+    return lake.spark.readStream.schema(schema).parquet(lake.path("bronze", table)).select(*schema.names)
 
 
 def _for_each_batch(

@@ -77,7 +77,7 @@ def test_cast_loss_counts_only_lost_values(spark):
     schema = table_schema("produtos")
     wanted = type(schema)([schema["id_produto"], schema["preco_base"]])
     assert rows(cast_loss_report(raw, wanted)) == [
-        ("id_produto", "int", 2),
+        ("id_produto", "bigint", 1),
         ("preco_base", "decimal(10,2)", 2),
     ]
     assert typed_cast(raw, wanted).columns == ["id_produto", "preco_base"]
