@@ -162,33 +162,6 @@ def fact_quality(fact: DataFrame, table: str = "fato_vendas") -> DataFrame:
     return _check_rows(totals, table, checks)
 
 
-def compare_measures(pairs: Mapping[str, tuple[DataFrame, DataFrame]], tolerance: float) -> DataFrame:
-    """Rows (verificacao, obtido, esperado, passou) from pairs of one-value frames."""
-    sides = []
-    for name, frames in pairs.items():
-        for side, frame in zip(("obtido", "esperado"), frames):
-            sides.append(
-                frame.toDF("valor").select(
-                    F.lit(name).alias("verificacao"),
-                    F.lit(side).alias("lado"),
-                    F.col("valor").cast("double"),
-                )
-            )
-    rows = reduce(DataFrame.unionByName, sides)
-
-    def value(side: str) -> Column:
-        return F.max(F.when(F.col("lado") == side, F.col("valor")))
-
-    return (
-        rows.groupBy("verificacao")
-        .agg(value("obtido").alias("obtido"), value("esperado").alias("esperado"))
-        .withColumn(
-            "passou",
-            F.coalesce(F.abs(F.col("obtido") - F.col("esperado")) <= tolerance, F.lit(False)),
-        )
-    )
-
-
 def require_passed(checks: DataFrame) -> None:
     """Raise with the names of the failed checks; the rows are few, one per check."""
     failed = [r["verificacao"] for r in checks.filter(~F.col("passou")).collect()]

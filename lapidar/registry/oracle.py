@@ -360,7 +360,11 @@ def _dashboard_checks() -> str:
             "(SELECT count(DISTINCT id_pedido) FROM fato)",
         ),
         "4_clientes_unicos": ("(SELECT count(DISTINCT sk_cliente) FROM fato)",) * 2,
-        "5_ticket_medio": (ticket, ticket),
+        "5_ticket_medio": (
+            ticket,
+            "(SELECT coalesce(CAST(sum(valor_total_item) AS DOUBLE) / nullif(count(DISTINCT id_pedido), 0), 0) "
+            "FROM fato WHERE status_pedido = 'Concluído')",
+        ),
         "6_soma_das_categorias": (
             "(SELECT sum(r) FROM (SELECT sum(valor_total_item) AS r FROM concluidos GROUP BY nome_categoria))",
             revenue,

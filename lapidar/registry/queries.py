@@ -563,10 +563,10 @@ def _item_total(t):
 
 
 def _fused_fact(t: RetailTables) -> DataFrame:
-    """From the given tables to the fact in one plan."""
+    """From the given tables and the written dimensions to the fact: Spark knows their sizes."""
     orders, items, payments = [t.table(n) for n in ALL_SOURCES]
     hot = hot_keys(items, "id_pedido")
-    fact = build_fact(orders, items, payments, t.dimensions, FACT_LOAD, hot)
+    fact = build_fact(orders, items, payments, gold(t.spark, t.sf_dir).dims, FACT_LOAD, hot)
     return _plain_money(fact)
 
 

@@ -111,9 +111,9 @@ def test_fact_quality(sales):
 def test_dashboard_reconciliation(sales):
     assert failed(qa_dashboard(sales, sales)) == set()
     repeated = sales.union(sales.filter("id_item = 1"))
-    assert failed(qa_dashboard(sales, repeated)) == {"1_linhas_da_view", "8_id_item_unico"}
+    assert failed(qa_dashboard(sales, repeated)) == {"1_linhas_da_view", "5_ticket_medio", "8_id_item_unico"}
     dearer = sales.withColumn("valor_total_item", F.col("valor_total_item") + 1)
-    assert failed(qa_dashboard(sales, dearer)) == {"2_receita_total"}
+    assert failed(qa_dashboard(sales, dearer)) == {"2_receita_total", "5_ticket_medio"}
     pending = sales.filter("status_pedido = 'Pendente'")
     assert failed(qa_dashboard(pending, pending)) == set()
 
