@@ -23,7 +23,6 @@ SHARE = 1.5
 MOST_COPIES = 2
 SEED = 20
 ROWS_PER_BUCKET = 50_000
-CLASSES_PER_DOUBLING = 4
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -64,9 +63,14 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def _uniform(*of: Column) -> Column:
-    """A number in [0, 1) that depends on nothing but the arguments."""
-    return F.pmod(F.xxhash64(*of, F.lit(SEED)), F.lit(1 << 40)) / float(1 << 40)
+def _hashed(*of: Column | str) -> Column:
+    """A whole number below 2^48 that depends on nothing but the arguments and the seed."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *of, F.lit(str(SEED)))), 1, 12), 16, 10).cast("long")
+
+
+def size_class(size: str) -> Column:
+    """Four classes for each doubling of the size: the leading bits, by whole numbers alone."""
+    return F.expr(f"length(bin({size} + 4)) * 4 + (shiftright({size} + 4, length(bin({size} + 4)) - 3) & 3)")
 
 
 def mixed(sizes: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -78,8 +82,8 @@ def mixed(sizes: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame
     rows = sizes.select(
         "*",
         key.alias("of"),
-        F.floor(F.log2(F.col("size") + 1.0) * CLASSES_PER_DOUBLING).cast("int").alias("class"),
-        F.pmod(F.xxhash64("doc_id", "size", F.when(F.col("doc_id").isNull(), F.col(ROW))), F.lit(buckets)).alias("bucket"),
+        size_class("size").alias("class"),
+        F.pmod(_hashed("doc_id", "size", F.when(F.col("doc_id").isNull(), F.col(ROW))), F.lit(buckets)).alias("bucket"),
     )
     counts = rows.groupBy("of", "class", "bucket").agg(F.count("*").alias("here"))
     ahead = Window.partitionBy("of").orderBy("class", "bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -94,7 +98,7 @@ def mixed(sizes: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame
         .select("s.*", "source_size", "target")
     )
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    offset = _uniform(F.col("of"))
+    offset = _hashed(F.col("of")) / F.lit(float(1 << 48))
     crossed = F.floor(F.col("rank") * each + offset) - F.floor((F.col("rank") - 1) * each + offset)
     return placed.select("doc_id", "source", "size", FILE, ROW, "source_size", "target", crossed.cast("long").alias("copies"))
 

@@ -19,6 +19,50 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op6_mixing": r"""
+        WITH sizes AS (
+            SELECT doc_id, source,
+                   CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+            FROM documents
+        ), sources AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source
+        ), capped AS (
+            SELECT *, CAST(2 * source_size AS DOUBLE) AS cap,
+                   CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight
+            FROM sources
+        ), ladder AS (
+            SELECT *, cap / weight AS meets,
+                   (CAST(1.5 AS DOUBLE) * CAST(sum(source_size) OVER () AS DOUBLE)
+                    - coalesce(sum(cap) OVER below, CAST(0 AS DOUBLE)))
+                   / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER below, 0) AS DOUBLE) AS level
+            FROM capped
+            WINDOW below AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), reshared AS (
+            SELECT *, max(CASE WHEN level <= meets THEN level END) OVER () AS final FROM ladder
+        ), goals AS (
+            SELECT source, source_size,
+                   CASE WHEN meets <= final THEN cap ELSE coalesce(final * weight, cap) END AS target
+            FROM reshared
+        ), placed AS (
+            SELECT doc_id, size, source, CASE WHEN source IS NULL THEN 'none' ELSE 's' || source END AS "of",
+                   length(bin(size + 4)) * 4 + (((size + 4) >> (length(bin(size + 4)) - 3)) & 3) AS class,
+                   CAST('0x' || substr(md5(concat_ws(':', doc_id, size, '20')), 1, 12) AS BIGINT)
+                   % (SELECT count(*) // 50000 + 1 FROM documents) AS bucket
+            FROM sizes
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY "of" ORDER BY class, bucket, size, doc_id) AS rank,
+                   CAST('0x' || substr(md5("of" || ':20'), 1, 12) AS BIGINT) / CAST(281474976710656 AS DOUBLE) AS offset_
+            FROM placed
+        ), taken AS (
+            SELECT r.doc_id, r.size, r.source, g.source_size, g.target,
+                   CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS each, r.rank, r.offset_
+            FROM ranked r JOIN goals g ON g.source IS NOT DISTINCT FROM r.source
+        )
+        SELECT doc_id, size, source_size, target, source,
+               CAST(floor(rank * each + offset_) - floor((rank - 1) * each + offset_) AS BIGINT) AS copies,
+               CAST(floor(rank * each + offset_) - floor((rank - 1) * each + offset_) AS BIGINT) * size AS taken
+        FROM taken
+    """,
     "op8_warc": """
         WITH hashed AS (
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
