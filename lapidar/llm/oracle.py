@@ -81,6 +81,87 @@ ORACLE: dict[str, str] = {
                CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
         FROM firsts
     """,
+    "op10_url_filter": r"""
+        WITH judged AS (
+            SELECT page_id, coalesce(url, '') AS address,
+                   translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages
+        ), ruled AS (
+            SELECT *, CASE
+                WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+                WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+                WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/'
+            END AS rule FROM judged
+        ), said AS (
+            SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS says
+            FROM ruled
+        ), urls AS (
+            SELECT address, any_value(says) AS says FROM said GROUP BY address
+        ), coded AS (
+            SELECT address, says, [0, 0] || list_transform(
+                list_filter(string_split(regexp_replace(translate(address, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789',
+                    'abcdefghijklmnopqrstuvwxyz000000000'), '[^a-z0\-\._/:\?=&#%\+]', '~', 'g'), ''), lambda c: c <> ''),
+                lambda c: instr('^abcdefghijklmnopqrstuvwxyz0-._/:?=&#%+~', c) - 1) || [0] AS codes
+            FROM urls
+        ), placed AS (
+            SELECT address, says, codes, unnest(range(1, len(codes) - 1)) AS i FROM coded
+        ), runs AS (
+            SELECT address, says, (codes[i] * 40 + codes[i + 1]) * 40 + codes[i + 2] AS gram FROM placed
+        ), kept_out AS (
+            SELECT address, CAST('0x' || substr(md5(address), 1, 8) AS BIGINT) % 5 = 0 AS out FROM urls
+        ), counts AS (
+            SELECT gram, count(*) FILTER (WHERE says = 'allow') AS allowed, count(*) FILTER (WHERE says = 'block') AS blocked
+            FROM runs JOIN kept_out USING (address) WHERE says IS NOT NULL AND NOT out GROUP BY gram
+        ), grid AS (
+            SELECT g AS gram, g // 1600 AS a, g // 40 % 40 AS b, g % 40 AS c,
+                   CAST(coalesce(allowed, 0) AS DOUBLE) AS n3_a, CAST(coalesce(blocked, 0) AS DOUBLE) AS n3_b
+            FROM range(64000) t(g) LEFT JOIN counts ON counts.gram = g
+        ), twos AS (
+            SELECT *, sum(n3_a) OVER bc AS n2_a, sum(n3_b) OVER bc AS n2_b, sum(n3_a) OVER c1 AS n1_a, sum(n3_b) OVER c1 AS n1_b,
+                   sum(n3_a) OVER () AS all_a, sum(n3_b) OVER () AS all_b
+            FROM grid WINDOW bc AS (PARTITION BY b, c), c1 AS (PARTITION BY c)
+        ), sums AS (
+            SELECT *, CAST(count(*) FILTER (WHERE n3_a > 0) OVER ab AS DOUBLE) AS t3_a, sum(n3_a) OVER ab AS s3_a,
+                   CAST(count(*) FILTER (WHERE n3_b > 0) OVER ab AS DOUBLE) AS t3_b, sum(n3_b) OVER ab AS s3_b,
+                   CAST(count(*) FILTER (WHERE n2_a > 0) OVER b1 AS DOUBLE) / 40 AS t2_a, sum(n3_a) OVER b1 AS s2_a,
+                   CAST(count(*) FILTER (WHERE n2_b > 0) OVER b1 AS DOUBLE) / 40 AS t2_b, sum(n3_b) OVER b1 AS s2_b,
+                   CAST(count(*) FILTER (WHERE n1_a > 0) OVER () AS DOUBLE) / 1600 AS t1_a,
+                   CAST(count(*) FILTER (WHERE n1_b > 0) OVER () AS DOUBLE) / 1600 AS t1_b
+            FROM twos WINDOW ab AS (PARTITION BY a, b), b1 AS (PARTITION BY b)
+        ), ones AS (
+            SELECT *, CASE WHEN all_a > 0 THEN (n1_a + t1_a * (1.0::DOUBLE / 40)) / (all_a + t1_a) ELSE 1.0::DOUBLE / 40 END AS p1_a,
+                   CASE WHEN all_b > 0 THEN (n1_b + t1_b * (1.0::DOUBLE / 40)) / (all_b + t1_b) ELSE 1.0::DOUBLE / 40 END AS p1_b
+            FROM sums
+        ), pairs AS (
+            SELECT *, CASE WHEN s2_a > 0 THEN (n2_a + t2_a * p1_a) / (s2_a + t2_a) ELSE p1_a END AS p2_a,
+                   CASE WHEN s2_b > 0 THEN (n2_b + t2_b * p1_b) / (s2_b + t2_b) ELSE p1_b END AS p2_b
+            FROM ones
+        ), ratios AS (
+            SELECT gram, CAST(round((ln(CASE WHEN s3_a > 0 THEN (n3_a + t3_a * p2_a) / (s3_a + t3_a) ELSE p2_a END)
+                   - ln(CASE WHEN s3_b > 0 THEN (n3_b + t3_b * p2_b) / (s3_b + t3_b) ELSE p2_b END)) * 1000000) AS BIGINT) AS ratio
+            FROM pairs
+        ), scored AS (
+            SELECT address, any_value(says) AS says, CAST(sum(ratio) AS BIGINT) AS total, count(*) AS runs
+            FROM runs JOIN ratios USING (gram) GROUP BY address
+        ), bins AS (
+            SELECT CAST(floor(CAST(total AS DOUBLE) / (runs * 1000)) AS BIGINT) AS bin,
+                   count(*) FILTER (WHERE says = 'allow') AS allowed, count(*) FILTER (WHERE says = 'block') AS blocked
+            FROM scored JOIN kept_out USING (address) WHERE says IS NOT NULL AND out GROUP BY 1
+        ), rates AS (
+            SELECT bin + coalesce(lag(bin) OVER (ORDER BY bin) + 1, bin) AS cut,
+                   1 - coalesce(sum(allowed) OVER below, 0) / CAST(nullif(sum(allowed) OVER (), 0) AS DOUBLE)
+                   + coalesce(sum(blocked) OVER below, 0) / CAST(nullif(sum(blocked) OVER (), 0) AS DOUBLE) AS rate
+            FROM bins WINDOW below AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), best AS (
+            SELECT coalesce((SELECT cut FROM rates WHERE rate IS NOT NULL ORDER BY rate DESC, abs(cut), cut DESC LIMIT 1), 0) AS cut
+        )
+        SELECT s.page_id, s.host, s.path, s.rule, CAST(total AS DOUBLE) / runs / 1000000 AS score,
+               coalesce(s.says, CASE WHEN total * 2 >= cut * 1000 * runs THEN 'allow' ELSE 'block' END) AS verdict
+        FROM said s JOIN scored USING (address), best
+    """,
     "op9_exact_dedup": r"""
         WITH rows AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS normal FROM documents

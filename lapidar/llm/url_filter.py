@@ -33,7 +33,7 @@ SIGNS = "-._/:?=&#%+"
 ALPHABET = "^abcdefghijklmnopqrstuvwxyz0" + SIGNS + "~"  # ^ is the border, 0 any digit, ~ any other
 N = len(ALPHABET)
 FOLDS = 5
-BINS_PER_UNIT = 1000
+MILLION, BIN = 1_000_000, 1000  # scores are millionths, counted in bins of a thousand
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -71,7 +71,7 @@ def grams(codes: Column) -> Column:
 
 
 def log_ratios(counts: DataFrame) -> DataFrame:
-    """gram, ratio: ln P(allowed) - ln P(blocked) of every run of three symbols.
+    """gram, ratio: ln P(allowed) - ln P(blocked) of every run of three symbols, in whole millionths.
 
     ``counts``: gram, allowed, blocked.
     """
@@ -101,7 +101,8 @@ def log_ratios(counts: DataFrame) -> DataFrame:
         for n, s, t in (("n1", "all", "t1"), ("n2", "s2", "t2"), (k, "s3", "t3")):
             p = F.when(F.col(s) > 0, F.try_divide(F.col(n) + F.col(t) * p, F.col(s) + F.col(t))).otherwise(p)
         rows = rows.withColumn(f"p_{k}", p).drop("n2", "n1", "all", "t3", "s3", "t2", "s2", "t1")
-    return rows.select("gram", (F.ln("p_allowed") - F.ln("p_blocked")).alias("ratio"))
+    ratio = (F.ln("p_allowed") - F.ln("p_blocked")) * MILLION
+    return rows.select("gram", F.round(ratio).cast("long").alias("ratio"))
 
 
 def runs_of(urls: DataFrame) -> DataFrame:
@@ -111,7 +112,8 @@ def runs_of(urls: DataFrame) -> DataFrame:
 
 
 def scores(urls: DataFrame, ratios: DataFrame) -> DataFrame:
-    """``urls`` (distinct ``address``, other columns) with score: the log-likelihood difference per symbol.
+    """``urls`` (distinct ``address``, other columns) with total and runs: the log-likelihood difference
+    in millionths and the number of symbols. Whole numbers add up alike in any order.
 
     ``ratios`` has 40^3 rows whatever the input, a bounded broadcast.
     """
@@ -119,27 +121,27 @@ def scores(urls: DataFrame, ratios: DataFrame) -> DataFrame:
     return (
         runs_of(urls).join(F.broadcast(ratios), "gram")
         .groupBy("address")
-        .agg(*(F.first(c).alias(c) for c in rest), F.avg("ratio").alias("score"))
+        .agg(*(F.first(c).alias(c) for c in rest), F.sum("ratio").alias("total"), F.count("*").alias("runs"))
     )
 
 
 def threshold(scored: DataFrame) -> DataFrame:
-    """One row with ``least``: the score from which a URL is allowed.
+    """One row with ``least``: twice the score, in bins, from which a URL is allowed.
 
-    ``scored``: score, verdict. Scores are counted in bins; the cut with the best balanced accuracy
+    ``scored``: total, runs, verdict. Scores are counted in bins; the cut with the best balanced accuracy
     wins, in the middle of the gap below its bin, ties to the one nearest to 0. 0 where either verdict
     is missing.
     """
-    bins = scored.groupBy(F.floor(F.col("score") * BINS_PER_UNIT).alias("bin")).agg(
+    bins = scored.groupBy(F.floor(F.col("total") / (F.col("runs") * BIN)).alias("bin")).agg(
         F.count_if(F.col("verdict") == "allow").alias("allowed"), F.count_if(F.col("verdict") == "block").alias("blocked")
     )
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     total = Window.partitionBy()
     share = lambda k: F.try_divide(F.coalesce(F.sum(k).over(below), F.lit(0)), F.sum(k).over(total))
     lower = F.coalesce(F.lag("bin").over(Window.orderBy("bin")) + 1, F.col("bin"))
-    best = bins.select(((F.col("bin") + lower) / 2).alias("cut"), (1 - share("allowed") + share("blocked")).alias("rate"))
+    best = bins.select((F.col("bin") + lower).alias("cut"), (1 - share("allowed") + share("blocked")).alias("rate"))
     pick = F.max(F.struct("rate", (-F.abs("cut")).alias("near"), "cut"))
-    return best.where("rate IS NOT NULL").agg(F.coalesce(pick["cut"] / BINS_PER_UNIT, F.lit(0.0)).alias("least"))
+    return best.where("rate IS NOT NULL").agg(F.coalesce(pick["cut"], F.lit(0)).alias("least"))
 
 
 def url_verdicts(spark: SparkSession, pages: DataFrame, rules=RULES) -> DataFrame:
@@ -152,7 +154,7 @@ def url_verdicts(spark: SparkSession, pages: DataFrame, rules=RULES) -> DataFram
     urls = written(judged.groupBy("address").agg(F.first("says").alias("says")), "urls")
     # few bytes, much work for each: not coalesced by size, and already dealt for the sum by address
     urls = urls.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "address")
-    kept_out = F.pmod(F.crc32("address"), F.lit(FOLDS)) == 0
+    kept_out = F.pmod(F.conv(F.substring(F.md5("address"), 1, 8), 16, 10).cast("long"), F.lit(FOLDS)) == 0
     counts = (
         runs_of(urls.where(F.col("says").isNotNull() & ~kept_out))
         .groupBy("gram")
@@ -160,7 +162,9 @@ def url_verdicts(spark: SparkSession, pages: DataFrame, rules=RULES) -> DataFram
     )
     scored = written(scores(urls, written(log_ratios(counts), "url-model")), "url-scores")
     cut = threshold(scored.where(F.col("says").isNotNull() & kept_out).withColumnRenamed("says", "verdict"))
-    model_says = F.when(F.col("score") >= written(cut, "url-cut").scalar(), "allow").otherwise("block")
-    return judged.join(scored.select("address", "score"), "address").select(
-        "page_id", "url", "host", "path", "rule", "score", F.coalesce("says", model_says).alias("verdict")
+    least = written(cut, "url-cut").scalar() * BIN
+    model_says = F.when(F.col("total") * 2 >= least * F.col("runs"), "allow").otherwise("block")
+    score = F.col("total") / F.col("runs") / MILLION
+    return judged.join(scored.select("address", "total", "runs"), "address").select(
+        "page_id", "url", "host", "path", "rule", score.alias("score"), F.coalesce("says", model_says).alias("verdict")
     )
