@@ -87,6 +87,7 @@ def dimension_scd2(
     required = [c for c in (required or [key, ACTIVE, START]) if c in dim.columns]
     per_key = [F.count(F.lit(1)).alias("n")]
     total = [F.coalesce(F.sum("n"), F.lit(0)).alias("linhas")]
+    # The checks' names are report values.
     checks = [
         exists,
         ("tabela_nao_vazia", F.col("linhas"), F.col("linhas") > 0),

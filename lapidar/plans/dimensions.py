@@ -86,6 +86,7 @@ def payment_methods(metodos: DataFrame) -> DataFrame:
     return dim_projection(metodos, "id_metodo", "sk_metodo", tipo_pagamento="tipo_pagamento")
 
 
+# Keys and tracked columns of each dimension.
 DIMENSIONS = {
     "dim_clientes": Dimension(
         "id_cliente",

@@ -89,6 +89,7 @@ def sales_star_view(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame
     sellers = dims["dim_vendedores"].drop("nome_loja")  # the store's own name is shown
     rows = with_attributes(fact, dims, *[n for n in DIMENSIONS if n != "dim_vendedores"])
     rows = rows.join(active_only(sellers).select("sk_vendedor", "nome_vendedor"), "sk_vendedor", "left")
+    # The view's columns, in order.
     return rows.select(
         "id_pedido",
         "id_item",
