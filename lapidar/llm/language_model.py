@@ -39,7 +39,7 @@ from lapidar.llm.common import text_of, written
 FOLDS, HELD_OUT = 5, 1
 PRIOR = 50.0
 MOST_DISCOUNT = 0.9
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_000_000
 SHARD_TOKENS = 6_000_000
 BYTES_PER_TOKEN = 6
 LANES = 2048
