@@ -281,9 +281,12 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def read_records(found: DataFrame) -> DataFrame:
-    """RECORD of every capture, read by range; neighbours in a file are read together."""
-    return found.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(_read, RECORD)
+def read_records(found: DataFrame, tasks: int) -> DataFrame:
+    """RECORD of every capture, read by range; neighbours in a file are read together.
+
+    ``tasks``: about one for each archive, as the places are small and what they name is not.
+    """
+    return found.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset").mapInArrow(_read, RECORD)
 
 
 def archived(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -292,4 +295,5 @@ def archived(spark: SparkSession, pages: DataFrame) -> DataFrame:
     write_archives(pages, folder)
     index = build_index(captures(spark, folder))
     keys = pages.select(key_of(F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")).alias("key")).distinct()
-    return read_records(lookup(index, keys))
+    archives = spark.read.format("binaryFile").load(folder).select("path").count()
+    return read_records(lookup(index, keys), max(archives, 1))

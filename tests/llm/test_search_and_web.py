@@ -201,7 +201,7 @@ def test_index_finds_all_captures_across_blocks_and_parts(spark):
     index = warc.build_index(warc.captures(spark, folder), per_part=25, lines_per_block=4)
     assert index.count() >= 30 and index.select("part").distinct().count() >= 4
     keys = spark.createDataFrame([("org,host3)/p",), ("org,host99)/p",), ("zzz",), ("",)], "key string")
-    rows = warc.read_records(warc.lookup(index, keys)).collect()
+    rows = warc.read_records(warc.lookup(index, keys), 3).collect()
     assert sorted(r["page_id"] for r in rows) == [i for i in range(120) if i % 7 == 3]
 
 
