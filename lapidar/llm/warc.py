@@ -111,8 +111,9 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES
 
 
 def _headers(head: bytes) -> dict[str, str]:
+    """Only the one space after the colon goes: white space at the ends of a url is part of its key."""
     pairs = (line.split(b":", 1) for line in head.split(b"\r\n")[1:])
-    return {k.decode().lower(): v.strip().decode("utf-8", "replace") for k, v in pairs}
+    return {k.decode().lower(): v.removeprefix(b" ").decode("utf-8", "replace") for k, v in pairs}
 
 
 def _scan(content: memoryview | bytes) -> Iterator[tuple[dict[str, str], int, int]]:

@@ -194,6 +194,18 @@ def test_archives_round_trip(spark):
     assert payloads == {6: HTML[5][2].encode(), 7: HTML[6][2].encode()}
 
 
+SPACED = ["http://a/b ", "http://b/b\t", " http://c/b", "\x0bhttp://d/?q\x0c", "http://e ", "http://f/?q ", " ", "\r\n \n"]
+TRIMMED = ["http://a/b", "http://b/b", "http://e", "", "\t \x0b\x0c", None]
+
+
+@pytest.mark.parametrize("urls", [SPACED, SPACED + TRIMMED])
+def test_white_space_at_the_ends_of_urls_loses_no_page(spark, urls):
+    rows = warc.archived(spark, pages(spark, [(i, u, f"text {i}") for i, u in enumerate(urls)])).collect()
+    found = {r["page_id"]: (r["url"], bytes(r["payload"])) for r in rows}
+    whole = [u and u.replace("\r", "%0D").replace("\n", "%0A") for u in urls]
+    assert len(rows) == len(urls) and found == {i: (u, b"text %d" % i) for i, u in enumerate(whole)}
+
+
 def test_index_finds_all_captures_across_blocks_and_parts(spark):
     many = [(i, f"http://host{i % 7}.org/p", f"text {i}") for i in range(120)]
     folder = scratch_dir(spark, "warc-test")
