@@ -18,7 +18,8 @@ Words have 64-bit hashes; bigrams 40 bits within a shard, of which there is one
 tokens, so the share of bigrams that meet another (about one in 100,000) does not grow.
 
 Defined results: a null text counts as empty (one token, the end); A-Z are folded; repeated rows are
-scored and counted each; without training texts every score is 0; other columns are ignored.
+scored and counted each; without training texts every score is 0; if no word is seen once, half a
+count is left for unknown ones; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from lapidar.llm.common import text_of, written
 
 FOLDS, HELD_OUT = 5, 1
 PRIOR = 50.0
+# where every word occurs at least twice, so much of a count is left for unknown ones
+LEAST_ONCE = 0.5
 MOST_DISCOUNT = 0.9
 BLOCK_TOKENS = 2_000_000
 SHARD_TOKENS = 6_000_000
@@ -209,7 +212,7 @@ class Automaton:
     def __init__(self, counts: np.ndarray, pairs: np.ndarray, seen: np.ndarray, total: int, words: int, once: int) -> None:
         n = len(counts)
         self.n, self.root = n, n
-        discount = min(once / words, MOST_DISCOUNT) if words else 0.0
+        discount = min(max(once, LEAST_ONCE) / words, MOST_DISCOUNT) if words else 0.0
         unknown = discount * words / total if total else 1.0
         single = np.where(counts > 0, (counts - discount) / max(total, 1), unknown)
         held = np.append(counts, 0).astype(np.float64)

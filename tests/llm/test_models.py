@@ -55,6 +55,18 @@ def test_language_model_without_training_rows(spark):
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["score"]) for r in rows] == [(3, 0, 0, 0.0)]
 
 
+def test_unknown_words_have_a_score_where_no_word_is_seen_once(spark):
+    held, *seen = sorted(range(6), key=lambda i: zlib.crc32(str(i).encode()) % 5 != 1)
+    seen = [i for i in seen if zlib.crc32(str(i).encode()) % 5 != 1][:2]
+    frame = spark.createDataFrame([(held, "a new"), *((i, "a b") for i in seen)], "doc_id long, text string")
+    rows = {r["doc_id"]: (r["held_out"], r["score"]) for r in language_model.scored(spark, frame).collect()}
+    # two each of a, b and the end; half a count for unknown words
+    p1 = lambda n: (n - 0.5 / 3) / 6 if n else 0.5 / 6
+    prior = language_model.PRIOR
+    expected = math.log10((2 + prior * p1(2)) / (2 + prior)) + math.log10(prior * p1(0) / (2 + prior)) + math.log10(p1(2))
+    assert len(seen) == 2 and rows[held] == (True, pytest.approx(expected)) and all(math.isfinite(s) for _, s in rows.values())
+
+
 @pytest.mark.parametrize("dtype", ["<u1", "<u2", "<u4", "<u8"])
 def test_packed_arrays_round_trip(dtype):
     arrays = [np.arange(9, dtype=dtype), np.zeros(0, dtype=dtype), np.array([np.iinfo(dtype).max], dtype=dtype)]
