@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lapidar.llm.common import FILE, ROW, WORD, located, text_of, written
+from lapidar.llm.common import FILE, ROW, WORD, located, own_columns, text_of, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -109,5 +109,5 @@ def mixture(spark: SparkSession, docs: DataFrame) -> DataFrame:
     taken = written(mixed(sized(placed)).where("copies > 0").select(FILE, ROW, "copies"), "taken")
     rows = placed.join(taken.withColumnRenamed("copies", "_llm_copies"), [FILE, ROW])
     return rows.withColumn("_llm_copy", F.explode(F.sequence(F.lit(1), F.col("_llm_copies").cast("int")))).select(
-        [F.col(f"`{c}`") for c in docs.columns]
+        own_columns(placed)
     )

@@ -173,4 +173,33 @@ ORACLE: dict[str, str] = {
                sha256(normal) AS text_sha256
         FROM rows WINDOW same AS (PARTITION BY normal)
     """,
+    "op11_fill_in_middle": r"""
+        WITH hashed AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hash
+            FROM documents
+        ), cut AS (
+            SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines,
+                   CAST('0x' || substr(hash, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(hash, 9, 8) AS BIGINT) AS h2,
+                   CAST('0x' || substr(hash, 25, 8) AS BIGINT) AS h4
+            FROM hashed
+        ), ends AS (
+            SELECT doc_id, text, lines, CAST(len(lines) AS BIGINT) AS n,
+                   least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS a,
+                   greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS b,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+                        WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM cut
+        ), parts AS (
+            SELECT doc_id, text, n, form, array_to_string(lines[1:a], '') AS prefix,
+                   array_to_string(lines[a + 1:b], '') AS middle, array_to_string(lines[b + 1:], '') AS suffix
+            FROM ends
+        )
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts
+    """,
 }

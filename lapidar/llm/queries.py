@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapidar.llm import bitsliced, exact_dedup, html_extract, language_model, mixing, order_minhash, packing, toxicity, url_filter, warc
+from lapidar.llm import (
+    bitsliced,
+    exact_dedup,
+    fill_in_middle,
+    html_extract,
+    language_model,
+    mixing,
+    order_minhash,
+    packing,
+    toxicity,
+    url_filter,
+    warc,
+)
 from lapidar.llm.common import located, table
 
 
@@ -59,6 +71,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.transformed(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_mincut": op1_html_mincut,
     "op2_order_minhash": op2_order_minhash,
@@ -70,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }

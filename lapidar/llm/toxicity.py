@@ -401,4 +401,4 @@ def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame
 def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the network doesn't reject, in their own columns."""
     score = scorer(fitted(docs, table(spark, sf_dir, "labels")))(text_of())
-    return docs.withColumn("_llm_score", score).where(F.col("_llm_score") < FROM).select([F.col(f"`{c}`") for c in docs.columns])
+    return docs.where(score < FROM)
