@@ -36,6 +36,8 @@ SENTINELS = {"psm": (PREFIX, SUFFIX, MIDDLE), "spm": (SUFFIX, PREFIX, MIDDLE)}
 PLAIN = "plain"
 PARTS = (PREFIX, MIDDLE, SUFFIX)  # as they stand in the text
 PIECE = 1 << 16
+# Bytes of text of a partition; adaptive execution doesn't size the shuffles of an RDD.
+PARTITION = 1 << 27
 ROWS = "doc_id long, n long, form string, prefix_chars long, middle_chars long, output_sha256 string, restored_sha256 string"
 
 
@@ -199,11 +201,14 @@ def _restored(records: Iterator[tuple]) -> Iterator[tuple]:
 def outputs(docs: DataFrame, settings: Settings = Settings(), partitions: int | None = None) -> RDD:
     """((row, position), value) sorted within partitions: per row what is known of it, then the output's pieces.
 
-    ``partitions``: as many as the input has by default, so each is about as large as one of the input's.
+    ``partitions``: by default so many that each gets about ``PARTITION`` bytes of text, one for each core at least.
     """
-    rows = located(docs).select(F.col("doc_id").cast("long"), text_of().alias("text")).rdd
-    emitted = rows.mapPartitionsWithIndex(lambda part, it: _emitted(part, it, settings))
-    return emitted.repartitionAndSortWithinPartitions(partitions or max(rows.getNumPartitions(), 1), _row_partition)
+    rows = located(docs).select(F.col("doc_id").cast("long"), text_of().alias("text"))
+    if partitions is None:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        partitions = max(-(-size // PARTITION), rows.sparkSession.sparkContext.defaultParallelism)
+    emitted = rows.rdd.mapPartitionsWithIndex(lambda part, it: _emitted(part, it, settings))
+    return emitted.repartitionAndSortWithinPartitions(partitions, _row_partition)
 
 
 def transformed(spark: SparkSession, docs: DataFrame, settings: Settings = Settings(), partitions: int | None = None) -> DataFrame:
