@@ -19,6 +19,7 @@ from lapidar.llm import (
     toxicity,
     url_filter,
     warc,
+    whitening,
 )
 from lapidar.llm.common import located, table
 
@@ -75,6 +76,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.transformed(spark, table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_mincut": op1_html_mincut,
     "op2_order_minhash": op2_order_minhash,
@@ -87,4 +92,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_whitening": op12_whitening,
 }
