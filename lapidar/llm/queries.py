@@ -16,6 +16,7 @@ from lapidar.llm import (
     mixing,
     order_minhash,
     packing,
+    quality,
     toxicity,
     url_filter,
     warc,
@@ -80,6 +81,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_mincut": op1_html_mincut,
     "op2_order_minhash": op2_order_minhash,
@@ -93,4 +98,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_filter": op10_url_filter,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_whitening": op12_whitening,
+    "op13_quality": op13_quality,
 }

@@ -23,9 +23,8 @@ def test_query_matches_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_query_returns_a_row_for_each_document_or_page(spark, name):
-    of = "pages" if name.split("_")[0] in ("op1", "op10") else "documents"
+    of, key = {"op1": ("pages", "page_id"), "op12": ("embeddings", "vec_id")}.get(name.split("_")[0], ("documents", "doc_id"))
     rows = QUERIES[name](spark, SF)
-    key = "page_id" if of == "pages" else "doc_id"
     there = duckdb.sql(f"SELECT count(DISTINCT {key}) FROM '{SF}/{of}.parquet'").fetchall()[0][0]
     assert rows.select(key).distinct().count() == there
 
