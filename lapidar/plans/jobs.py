@@ -1,66 +1,111 @@
 """Loads of the layered lake, each safe to run again after a failure.
 
-The batch time is a parameter: one run stamps one instant. Batch times of later runs
-must be later. Loads collect only watermarks, part labels and counts to the driver.
+The batch time is a parameter: one run stamps one instant. Bronze, silver and the fact hand
+on batches by name, so these times need not rise; dimension loads must be later than the last.
+Loads collect only watermarks, labels of batches and parts, and counts to the driver.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DataType, StringType
 
 from lapidar.operators import scd2
 from lapidar.operators.checks import IntegrityError, dimension_scd2, require_passed
-from lapidar.operators.control import get_checkpoint, save_checkpoint
+from lapidar.operators.control import LAYER, get_checkpoint, save_checkpoint, save_taken, taken_batches
 from lapidar.operators.facts import incremental_filter, max_watermark
-from lapidar.operators.ingest import bronze_audit
+from lapidar.operators.ingest import AUDIT_COLUMNS, bronze_audit
 from lapidar.operators.merge import changed_rows, upsert
 from lapidar.operators.skew import hot_keys
 from lapidar.plans.dimensions import DIMENSIONS
 from lapidar.plans.sales import FACT, build_fact
-from lapidar.plans.silver import silver_build
+from lapidar.plans.silver import Seen, SilverReport, silver_build
 from lapidar.sources.lake import Lake
-from lapidar.sources.landing import assert_not_empty, read_landing
+from lapidar.sources.landing import MALFORMED, assert_not_empty, read_landing_marked
 from lapidar.sources.schemas import (
     GOLD_INPUTS,
     KEY_RANGE,
     PROCESSING_ORDER,
     primary_key,
+    raw_schema,
     table_schema,
 )
 
 FACT_SOURCES = ("pedidos", "itens_pedido", "pagamentos_pedido")
-# Orders that an item or a payment has left: they are rebuilt like those it came to.
-MOVED = "pedidos_anteriores"
+# Notes of silver loads for the fact: the orders that changed rows belong to or have left.
+CHANGED = "pedidos_alterados"
+# Orders of the fact with a key that their dimension does not have yet.
+PENDING = "fato_vendas_pendentes"
 ACTIVE_PART = "ativo"
 
 
 # -- bronze --------------------------------------------------------------------------
 
 
-def load_bronze(lake: Lake, landing: str, table: str, batch_ts: str) -> int | None:
-    """Append the landing files of a table with audit columns; returns the number of rows.
+@dataclass(frozen=True)
+class BronzeReport:
+    linhas: int
+    em_quarentena: int
+
+    def __str__(self) -> str:
+        return json.dumps(asdict(self), sort_keys=True)
+
+
+def quarantine_of(table: str) -> str:
+    return f"quarentena_{table}"
+
+
+def load_bronze(lake: Lake, landing: str, table: str, batch_ts: str) -> BronzeReport | None:
+    """Append the landing files of a table with audit columns; returns the numbers of rows.
 
     The batch time names the batch. Running it again replaces the batch as long as silver
-    has not taken it, and does nothing (None) once it has. A new batch must be later than
-    what silver has taken, or silver would pass it by.
+    has not taken it, and does nothing (None) once it has. Batches may come in any order:
+    silver keeps a ledger of those it has taken. Rows with too many or too few fields go to
+    the quarantine table with their file and text; only a batch that has some is read again.
     """
     label = "b" + "".join(c for c in batch_ts if c.isdigit())
-    mark = get_checkpoint(lake, f"silver_{table}", [table])[table]
-    if _instant(batch_ts) <= _instant(mark):
-        if lake.has_batch("bronze", table, label):
-            return None
-        raise ValueError(f"bronze {table}: batch time {batch_ts} is not later than {mark}, which silver has taken")
-    raw, seen = read_landing(lake.spark, landing, table), Observation()
-    rows = bronze_audit(raw, table, batch_ts).observe(seen, F.count(F.lit(1)).alias("linhas"))
-    lake.append(rows, "bronze", table, label)
-    return seen.get["linhas"]
+    rows = bronze_audit(read_landing_marked(lake.spark, landing, table), table, batch_ts)
+    job = f"bronze_{table}"
+    if label in taken_batches(lake, f"silver_{table}"):
+        if not lake.has_batch(LAYER, job, label):  # the run that wrote it died before its quarantine was whole
+            _save_bronze_report(lake, job, label, BronzeReport(-1, append_quarantine(lake, rows, table, label)))
+        return None
+    report = append_bronze(lake, rows, table, label)
+    _save_bronze_report(lake, job, label, report)
+    return report
+
+
+def append_bronze(lake: Lake, rows: DataFrame, table: str, label: str) -> BronzeReport:
+    """Write audited rows as a bronze batch, and those that are malformed as a batch of the quarantine."""
+    seen, bad = Observation(), F.col(MALFORMED).isNotNull()
+    counted = rows.observe(seen, F.count_if(~bad).alias("linhas"), F.count_if(bad).alias("em_quarentena"))
+    lake.append(counted.filter(~bad).drop(MALFORMED), "bronze", table, label)
+    report = BronzeReport(**seen.get)
+    if report.em_quarentena or lake.has_batch("bronze", quarantine_of(table), label):  # an earlier try's are replaced
+        append_quarantine(lake, rows, table, label)
+    return report
+
+
+def append_quarantine(lake: Lake, rows: DataFrame, table: str, label: str) -> int:
+    """The malformed rows: their text, the fields that Spark made of it, file and time."""
+    seen = Observation()
+    fields = F.array(*raw_schema(table).names).alias("campos")
+    bad = rows.filter(F.col(MALFORMED).isNotNull()).select(MALFORMED, fields, *AUDIT_COLUMNS)
+    lake.append(bad.observe(seen, F.count(F.lit(1)).alias("n")), "bronze", quarantine_of(table), label)
+    return seen.get["n"]
+
+
+def _save_bronze_report(lake: Lake, job: str, label: str, report: BronzeReport) -> None:
+    rows = lake.spark.createDataFrame([(report.linhas, report.em_quarentena)], "linhas long, em_quarentena long")
+    lake.append(rows.coalesce(1), LAYER, job, label)
 
 
 # -- silver --------------------------------------------------------------------------
@@ -68,19 +113,26 @@ def load_bronze(lake: Lake, landing: str, table: str, batch_ts: str) -> int | No
 
 def load_silver(
     lake: Lake, table: str, batch_ts: str, key_types: Mapping[str, str] | None = None
-) -> int:
-    """Bring the bronze rows ingested since the last run into silver."""
+) -> SilverReport:
+    """Bring the bronze batches that silver has not taken yet into silver.
+
+    The ledger holds batches, not a time, so a batch that is written late or stamped early
+    is not passed by. Batches written while this load runs belong to the next one.
+    """
     job = f"silver_{table}"
-    mark = get_checkpoint(lake, job, [table])[table]
-    fresh = incremental_filter(lake.read("bronze", table), "_ingestion_timestamp", mark)
-    top = _first_value(max_watermark(fresh, "_ingestion_timestamp"))
-    if top is None:
-        return 0
-    # rows that arrive while this load runs belong to the next one
-    batch = fresh.filter(F.col("_ingestion_timestamp") <= F.lit(top).cast("timestamp"))
-    changed = merge_silver(lake, batch, table, batch_ts, key_types)
-    save_checkpoint(lake, job, {table: top})
-    return changed
+    taken = taken_batches(lake, job)
+    new = [b for b in lake.batches("bronze", table) if b not in taken]
+    if not new:
+        assert_exists(lake, "bronze", table)
+        return SilverReport()
+    report = merge_silver(lake, lake.read_batch("bronze", table, *new), table, batch_ts, key_types)
+    save_taken(lake, job, taken | set(new))
+    return report
+
+
+def assert_exists(lake: Lake, layer: str, table: str) -> None:
+    if not lake.exists(layer, table):
+        raise FileNotFoundError(f"no data for {layer}.{table} below {lake.root}")
 
 
 def merge_silver(
@@ -89,24 +141,30 @@ def merge_silver(
     table: str,
     batch_ts: str,
     key_types: Mapping[str, str] | None = None,
-    moved_as: str | None = None,
-) -> int:
-    """Upsert bronze rows into silver; returns how many rows were new or changed.
+    noted_as: str | None = None,
+) -> SilverReport:
+    """Upsert bronze rows into silver; reports rows read, lost, discarded, and new or changed.
 
-    ``moved_as`` labels the batch of orders that changed rows have left (``MOVED``).
+    Before a source of the fact is replaced, the orders that its new or changed rows belong
+    to, or belonged to before, are noted in ``CHANGED`` under the version that is about to be
+    written; ``noted_as`` ends the note's label.
 
     Rows equal to what silver holds are left alone. Of a table split by key only the
     touched parts are read and rewritten. A row whose newest version breaks a rule
     keeps its earlier silver version, and rows deleted at the source stay.
     """
-    rows = silver_build(bronze, table, batch_ts, key_types)
+    if bronze.isEmpty():
+        return SilverReport()
+    seen = Seen()
+    rows = silver_build(bronze, table, batch_ts, key_types, seen)
     part = key_part(table, key_types)
     if not lake.exists("silver", table):
+        # no fact can be older than the first load of one of its sources: nothing to note
         if part is None:
             lake.publish(rows, "silver", table)
         else:
             lake.publish_parts(rows, "silver", table, part, [])
-        return lake.read("silver", table).count()
+        return seen.report()
 
     key, columns = primary_key(table), table_schema(table).names
     rows = rows.persist()
@@ -122,30 +180,45 @@ def merge_silver(
         else:
             target, changed = rows.limit(0), rows
         count = changed.count()
+        report = seen.report(count)
         if count == 0:
-            return 0
-        if table in FACT_SOURCES[1:]:
-            # before silver is replaced: after a failure the next run finds them still
-            lake.append(_left_orders(target, changed, key, batch_ts), "silver", MOVED, moved_as)
+            return report
+        if table in FACT_SOURCES:
+            label = f"{table}.{lake.next_version('silver', table):08d}" + (f".{noted_as}" if noted_as else "")
+            lake.append(_orders_of(target, changed, key), "silver", CHANGED, label)
         merged = upsert(target, changed, key)
         if part is None:
             lake.publish(merged, "silver", table)
         else:
             lake.publish_parts(merged, "silver", table, part, touched)
-        return count
+        return report
     finally:
         for df in (rows, changed):
             if df is not None:
                 df.unpersist()
 
 
-def _left_orders(old: DataFrame, new: DataFrame, key: str, batch_ts: str) -> DataFrame:
-    """Orders, as text, that rows of ``old`` belonged to and their new versions do not."""
+def _orders_of(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Orders, as text, of new or changed rows and those that these rows have left."""
+    order = F.col("id_pedido").cast("string").alias("id_pedido")
+    if key == "id_pedido":
+        return new.select(order)
     now = new.select(key, F.col("id_pedido").alias("_now"))
-    moved = old.select(key, "id_pedido").join(now, key).filter("NOT id_pedido <=> _now AND id_pedido IS NOT NULL")
-    return moved.select(
-        F.col("id_pedido").cast("string").alias("id_pedido"), F.lit(batch_ts).cast("timestamp").alias("_silver_processed_at")
-    )
+    left = old.select(key, "id_pedido").join(now, key).filter("NOT id_pedido <=> _now")
+    return new.select(order).unionByName(left.select(order)).filter("id_pedido IS NOT NULL").distinct()
+
+
+def noted_orders(lake: Lake, key_type: DataType, labels: Iterable[str]) -> list[DataFrame]:
+    """The orders of these notes, one frame or none."""
+    labels = list(labels)
+    return [lake.read_batch("silver", CHANGED, *labels).select(F.col("id_pedido").cast(key_type))] if labels else []
+
+
+def open_notes(lake: Lake, taken: set[str]) -> list[str]:
+    """Notes that are not taken and whose silver version is there for readers."""
+    versions = {t: lake.version("silver", t) for t in FACT_SOURCES}
+    labels = (b for b in lake.batches("silver", CHANGED) if b not in taken)
+    return [b for b in labels if int(b.split(".")[1]) <= versions[b.split(".")[0]]]
 
 
 def key_part(table: str, key_types: Mapping[str, str] | None = None) -> Column | None:
@@ -209,17 +282,20 @@ def persist_and_validate(lake: Lake, name: str, compact: bool = True) -> bool:
 # -- gold fact -----------------------------------------------------------------------
 
 
-def load_fact(lake: Lake, batch_ts: str) -> int:
+def load_fact(lake: Lake, batch_ts: str, late_keys: bool = True) -> int:
     """Rebuild the orders that changed in any of the three sources since the last run.
 
-    Each source has its own watermark, so an item or payment that arrives after its
-    order still reaches the fact. Returns the number of orders rebuilt.
+    Which ones: the orders in notes of silver loads that this job has not taken, rows above
+    each source's own watermark (tables that others have written), and, with ``late_keys``,
+    orders that lack a key which a dimension has by now. A silver load stamped like an
+    earlier one, an item after its order and a client after their order all reach the
+    fact. Returns the number of orders rebuilt.
     """
-    sources = [*FACT_SOURCES, *([MOVED] if lake.exists("silver", MOVED) else [])]
-    marks = get_checkpoint(lake, FACT, sources)
+    notes = open_notes(lake, taken := taken_batches(lake, FACT))
+    marks = get_checkpoint(lake, FACT, FACT_SOURCES)
     fresh = {
         t: incremental_filter(lake.read("silver", t), "_silver_processed_at", marks[t])
-        for t in sources
+        for t in FACT_SOURCES
     }
     tops = reduce(
         DataFrame.unionByName,
@@ -231,14 +307,16 @@ def load_fact(lake: Lake, batch_ts: str) -> int:
         ],
     )
     new_marks = {r["fonte"]: r["marca"] for r in tops.collect() if r["marca"]}
-    if not new_marks:
-        return 0
     key_type = fresh[FACT_SOURCES[0]].schema["id_pedido"].dataType
-    affected = reduce(
-        DataFrame.unionByName, [df.select(F.col("id_pedido").cast(key_type)) for df in fresh.values()]
-    )
-    count = merge_fact(lake, affected, batch_ts)
+    found = orders_with_late_keys(lake, key_type) if late_keys else None
+    late = [found] if found is not None and not found.isEmpty() else []
+    if not new_marks and not notes and not late:
+        return 0
+    changed = [df.select(F.col("id_pedido").cast(key_type)) for t, df in fresh.items() if t in new_marks]
+    count = merge_fact(lake, reduce(DataFrame.unionByName, changed + noted_orders(lake, key_type, notes) + late), batch_ts)
     save_checkpoint(lake, FACT, {**marks, **new_marks})
+    if notes:
+        save_taken(lake, FACT, taken | set(notes))
     return count
 
 
@@ -252,6 +330,7 @@ def merge_fact(lake: Lake, order_ids: DataFrame, batch_ts: str) -> int:
     dims = {name: lake.read("gold", name) for name in DIMENSIONS}
     if not lake.exists("gold", FACT):
         hot = hot_keys(sources["itens_pedido"], "id_pedido")
+        lake.publish(missing_keys(*sources.values(), dims), "gold", PENDING)
         fact = build_fact(*sources.values(), dims, batch_ts, hot)
         lake.publish_parts(fact, "gold", FACT, month_label("data_pedido"), [])
         return sources["pedidos"].count()
@@ -276,6 +355,7 @@ def merge_fact(lake: Lake, order_ids: DataFrame, batch_ts: str) -> int:
             month_label("data_pedido"),
         )
         hot = hot_keys(items, "id_pedido")
+        _replace_pending(lake, affected, missing_keys(orders, items, payments, dims))
         rows = build_fact(orders, items, payments, dims, batch_ts, hot)
         known = set(months) & set(lake.parts("gold", FACT))
         if known:
@@ -288,6 +368,51 @@ def merge_fact(lake: Lake, order_ids: DataFrame, batch_ts: str) -> int:
             df.unpersist()
 
 
+# -- keys that come after the orders that have them --------------------------------------
+
+
+def missing_keys(orders: DataFrame, items: DataFrame, payments: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """id_pedido, dimensao, chave: keys of these orders that no version of their dimension has."""
+    holder = {"id_produto": items, "id_metodo": payments}
+    found = []
+    for name, dim in dims.items():
+        key = DIMENSIONS[name].key
+        rows = holder.get(key, orders).select("id_pedido", key).filter(F.col(key).isNotNull())
+        lost = rows.join(dim.select(key), key, "left_anti")
+        found.append(lost.select("id_pedido", F.lit(name).alias("dimensao"), F.col(key).cast("string").alias("chave")))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _replace_pending(lake: Lake, affected: DataFrame, missing: DataFrame) -> None:
+    """The index of orders that wait for a key, with these orders' entries replaced.
+
+    It is written before the fact: an entry too many costs one rebuild, one too few would lose a key.
+    """
+    missing = missing.persist()
+    try:
+        if lake.exists("gold", PENDING):
+            old = lake.read("gold", PENDING)
+            if missing.isEmpty() and old.join(affected, "id_pedido", "left_semi").isEmpty():
+                return
+            missing = old.join(affected, "id_pedido", "left_anti").select(*missing.columns).unionByName(missing)
+        lake.publish(missing.hint("rebalance"), "gold", PENDING)
+    finally:
+        missing.unpersist()
+
+
+def orders_with_late_keys(lake: Lake, key_type: DataType) -> DataFrame | None:
+    """Orders of the index whose dimension has their key by now; only keys are read of the dimensions."""
+    if not lake.exists("gold", PENDING):
+        return None
+    pending = lake.read("gold", PENDING)
+    waiting = [r["dimensao"] for r in pending.select("dimensao").distinct().collect()]
+    found = []
+    for name in waiting:
+        keys = lake.read("gold", name).select(F.col(DIMENSIONS[name].key).cast("string").alias("chave"))
+        found.append(pending.filter(F.col("dimensao") == name).join(keys, "chave", "left_semi"))
+    return reduce(DataFrame.unionByName, found).select(F.col("id_pedido").cast(key_type)) if found else None
+
+
 # Width and number of the key ranges that a load passes to its scans as a filter.
 NEAR_WIDTH = 1_000_000
 NEAR_RANGES = 200

@@ -94,6 +94,7 @@ def _load_waves(spark: SparkSession, sf_dir: str) -> Waves:
 
             list(pool.map(silver, PROCESSING_ORDER))
             list(pool.map(lambda name: load_dimension(lake, name, batch_ts), DIMENSIONS))
-            rebuilt.append(load_fact(lake, FACT_LOAD))
-    rebuilt.append(load_fact(lake, FACT_LOAD))
+            # orders keep the keys that were there when they came
+            rebuilt.append(load_fact(lake, FACT_LOAD, late_keys=False))
+    rebuilt.append(load_fact(lake, FACT_LOAD, late_keys=False))
     return Waves(lake, tuple(rebuilt))

@@ -555,6 +555,24 @@ def oracle_queries() -> dict[str, str]:
             FROM (SELECT k, {no_method} AS ok
                   FROM (SELECT {_int('id_pedido')} AS k, trim(status_pedido) AS status_pedido
                         FROM pedidos_recentes))""",
+        "silver_load_report": f"""
+            SELECT 'recebidas' AS medida, count(*) AS linhas FROM bronze_pedidos
+            UNION ALL
+            SELECT unnest(['lidas', 'sem_chave', 'contra_regra', 'validas', 'gravadas']),
+                   unnest([count(*), count(*) FILTER (WHERE k IS NULL), count(*) FILTER (WHERE k IS NOT NULL AND ok = 0),
+                           count(*) FILTER (WHERE k IS NOT NULL AND ok = 1), count(*) FILTER (WHERE k IS NOT NULL AND ok = 1)])
+            FROM (SELECT k, {no_method} AS ok
+                  FROM (SELECT {_int('id_pedido')} AS k, trim(status_pedido) AS status_pedido FROM pedidos_recentes))
+            UNION ALL SELECT * FROM ({" UNION ALL ".join(
+                f"SELECT 'perdidos_{c}', count(*) AS n FROM pedidos_recentes WHERE trim({c}) <> '' AND {cast} IS NULL"
+                for c, (_, cast) in bad_cells.items())}) WHERE n > 0""",
+        "silver_out_of_order": f"SELECT {raw_orders} FROM pedidos_silver",
+        "scan_csv_quarantine": """
+            SELECT concat_ws(',', id_metodo, tipo_pagamento) AS linha, 'bronze' AS destino FROM metodos_pagamento_2
+            UNION ALL
+            SELECT CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR)
+                        ELSE concat_ws(',', o_orderkey, o_orderpriority, 'x') END, 'quarentena'
+            FROM orders WHERE o_orderkey % 5 = 0""",
         "silver_build": "SELECT * FROM pedidos_silver",
         "bronze_build": _all(
             [
@@ -685,6 +703,8 @@ def oracle_queries() -> dict[str, str]:
         "stream_bronze": f"SELECT {raw_orders}, 'pedidos' AS _source_table FROM bronze_pedidos",
         "stream_silver_upsert": f"SELECT {raw_orders} FROM pedidos_silver",
         "stream_fact": "SELECT * FROM fato",
+        "fato_vendas_mesmo_lote": "SELECT * FROM fato",
+        "fato_vendas_chave_tardia": "SELECT * EXCLUDE (_gold_processed_at) FROM fato",
         # jobs
         "run_layer": _counts(
             {

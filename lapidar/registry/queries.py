@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import asdict
 from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,7 +57,7 @@ from lapidar.plans.silver import latest_bronze, silver_build
 from lapidar.registry.gold_data import gold, waves
 from lapidar.session import apply_settings, scratch_dir
 from lapidar.sources.lake import Lake
-from lapidar.sources.landing import assert_not_empty, read_landing, write_landing
+from lapidar.sources.landing import MALFORMED, assert_not_empty, landing_path, read_landing, write_landing
 from lapidar.sources.retail_binding import (
     FACT_LOAD,
     FIRST_LOAD,
@@ -471,6 +472,50 @@ def _silver_build(t):
     return silver_build(t.bronze_orders(), "pedidos", SECOND_LOAD)
 
 
+@query("silver_load_report")
+def _silver_load_report(t):
+    """What the silver load itself says about two batches of raw orders, without a scan of its own."""
+    lake = _new_lake(t, "silver")
+    lake.append(t.bronze_orders(), "bronze", "pedidos", "b1")
+    report = jobs.load_silver(lake, "pedidos", SECOND_LOAD)
+    counts = {k: v for k, v in asdict(report).items() if k != "perdidos"}
+    rows = [*counts.items(), *((f"perdidos_{c}", n) for c, n in report.perdidos.items())]
+    return t.spark.createDataFrame(rows, "medida string, linhas bigint")
+
+
+@query("silver_out_of_order")
+def _silver_out_of_order(t):
+    """Raw orders in three bronze batches that arrive against the order of their times; silver has all."""
+    lake, rows = _new_lake(t, "silver"), t.bronze_orders()
+    late = F.col("_ingestion_timestamp") == F.lit(SECOND_LOAD).cast("timestamp")
+    repeated = F.col("_source_file") == "carga-3"
+    for label, batch in (("b3", late), ("b1", ~late & repeated), ("b2", ~late & ~repeated)):
+        lake.append(rows.filter(batch), "bronze", "pedidos", label)
+        jobs.load_silver(lake, "pedidos", SECOND_LOAD)
+    return lake.read("silver", "pedidos").select(*table_schema("pedidos").names)
+
+
+@query("scan_csv_quarantine")
+def _scan_csv_quarantine(t):
+    """Landing rows with a field too many or too few: their text and file's table, beside the batch's good rows."""
+    root, lake = scratch_dir(t.spark, "landing"), _new_lake(t, "bronze")
+    key = F.col("id_metodo").cast("string")
+    lines = t.table("metodos_pagamento").select(F.concat_ws(",", key, "tipo_pagamento").alias("linha"))
+    orders = t.source("orders").select("o_orderkey", "o_orderpriority")
+    broken = orders.filter("o_orderkey % 5 = 0").select(
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey").cast("string"))
+        .otherwise(F.concat_ws(",", "o_orderkey", "o_orderpriority", F.lit("x")))
+        .alias("linha")
+    )
+    # whole lines as one column, named like the header: no file's writer touches their commas
+    landed = lines.unionByName(broken).withColumnRenamed("linha", "id_metodo,tipo_pagamento")
+    landed.write.option("header", True).option("sep", "\u0001").csv(landing_path(root, "metodos_pagamento"))
+    jobs.load_bronze(lake, root, "metodos_pagamento", FIRST_LOAD)
+    good = lake.read("bronze", "metodos_pagamento").select(F.concat_ws(",", "id_metodo", "tipo_pagamento").alias("linha"), F.lit("bronze").alias("destino"))
+    bad = lake.read("bronze", jobs.quarantine_of("metodos_pagamento"))
+    return good.unionByName(bad.select(F.col(MALFORMED).alias("linha"), F.lit("quarentena").alias("destino")))
+
+
 @query("bronze_build")
 def _bronze_build(t):
     """Two loads of the landing folder accumulate."""
@@ -587,6 +632,40 @@ def _fato_vendas_incremental(t):
     return _plain_money(lake.read("gold", FACT))
 
 
+@query("fato_vendas_mesmo_lote")
+def _fato_vendas_mesmo_lote(t):
+    """Silver takes the raw sales in two batches stamped alike, with a fact load after each."""
+    lake = _raw_sales(t)
+    odd = F.pmod(F.xxhash64("id_pedido"), F.lit(2))
+    bronze = {n: lake.read("bronze", n) for n in ALL_SOURCES}
+    staged = _new_lake(t, "stage")
+    for name in DIMENSIONS:
+        staged.publish(t.dimension(name), "gold", name)
+    for part in (0, 1):
+        for name in ALL_SOURCES:
+            staged.append(bronze[name].filter(odd == part), "bronze", name, f"b{part}")
+            jobs.load_silver(staged, name, SECOND_LOAD, KEY_TYPES)
+        jobs.load_fact(staged, FACT_LOAD)
+    return _plain_money(staged.read("gold", FACT))
+
+
+@query("fato_vendas_chave_tardia")
+def _fato_vendas_chave_tardia(t):
+    """The fact is loaded while one client in seven and one product in eleven are unknown, and again once they are there."""
+    lake = _new_lake(t, "late")
+    for name in ALL_SOURCES:
+        lake.publish(t.table(name), "silver", name)
+    unknown = {"dim_clientes": "id_cliente % 7 = 0", "dim_produtos": "id_produto % 11 = 0"}
+    for name in DIMENSIONS:
+        rows = t.dimension(name)
+        lake.publish(rows.filter(f"NOT {unknown[name]}") if name in unknown else rows, "gold", name)
+    jobs.load_fact(lake, SECOND_LOAD)
+    for name in unknown:
+        lake.publish(t.dimension(name), "gold", name)
+    jobs.load_fact(lake, FACT_LOAD)
+    return _plain_money(lake.read("gold", FACT)).drop("_gold_processed_at")
+
+
 @query("skip_when_no_orders")
 def _skip_when_no_orders(t):
     """Orders rebuilt by three loads; the last one finds nothing new and writes nothing."""
@@ -744,9 +823,8 @@ def _stream_silver_upsert(t):
     return lake.read("silver", "pedidos").select(*table_schema("pedidos").names)
 
 
-@query("stream_fact")
-def _stream_fact(t):
-    """Raw orders, items and payments to the fact; dimensions are there already."""
+def _raw_sales(t: RetailTables) -> Lake:
+    """Dimensions, and the sales as one raw bronze batch for each table."""
     lake = _new_lake(t, "stream")
     for name in DIMENSIONS:
         lake.publish(t.dimension(name), "gold", name)
@@ -759,6 +837,13 @@ def _stream_fact(t):
             "_source_table": F.lit(name),
         }
         lake.append(rows.withColumns(audit), "bronze", name)
+    return lake
+
+
+@query("stream_fact")
+def _stream_fact(t):
+    """Raw orders, items and payments to the fact; dimensions are there already."""
+    lake = _raw_sales(t)
     clock = lambda: FACT_LOAD
     for _ in range(2):
         _run(stream_fact(lake, f"{lake.root}/checkpoints", KEY_TYPES, clock))

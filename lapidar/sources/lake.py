@@ -69,8 +69,12 @@ class Lake:
         label = batch or uuid.uuid4().hex
         df.write.mode("overwrite").parquet(f"{self.path(layer, table)}/{BATCH}={label}")
 
-    def read_batch(self, layer: str, table: str, batch: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path(layer, table)}/{BATCH}={batch}")
+    def read_batch(self, layer: str, table: str, *batches: str) -> DataFrame:
+        return self.spark.read.parquet(*[f"{self.path(layer, table)}/{BATCH}={b}" for b in batches])
+
+    def batches(self, layer: str, table: str) -> list[str]:
+        """Labels of the finished batches."""
+        return sorted(p.rsplit(f"{BATCH}=", 1)[1] for p in self._batches(self.path(layer, table)))
 
     def has_batch(self, layer: str, table: str, batch: str) -> bool:
         return bool(self._glob(f"{self.path(layer, table)}/{BATCH}={batch}/_SUCCESS"))
@@ -119,6 +123,10 @@ class Lake:
     def file_count(self, layer: str, table: str) -> int:
         return len(self.read(layer, table).inputFiles())
 
+    def version(self, layer: str, table: str) -> int:
+        """The number of the last finished write of the table; 0 before the first."""
+        return max((_version(p) for p in self._glob(f"{self.path(layer, table)}/{VERSION}=*/_SUCCESS")), default=0)
+
     def next_version(self, layer: str, table: str) -> int:
         """The number that the next write of the table gets."""
         return self._next_version(self.path(layer, table))

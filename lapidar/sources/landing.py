@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.streaming import DataStreamReader
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lapidar.sources.schemas import raw_schema
 
@@ -18,6 +19,9 @@ CSV = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# Column with the text of a malformed row; NULL in all others.
+MALFORMED = "_linha_invalida"
+
 
 def read_raw_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Headered CSV as text. Fails when the header does not carry the schema's names in order."""
@@ -32,6 +36,20 @@ def read_landing(spark: SparkSession, root: str, table: str) -> DataFrame:
     return read_raw_csv(spark, landing_path(root, table), raw_schema(table))
 
 
+def marked(reader: DataFrameReader | DataStreamReader, table: str) -> DataFrameReader | DataStreamReader:
+    """A reader of raw CSV that puts the text of rows with too many or too few fields into ``MALFORMED``.
+
+    Such a row's fields can't be told apart; without the column, Spark cuts or fills the row in silence.
+    """
+    schema = StructType([*raw_schema(table), StructField(MALFORMED, StringType())])
+    options = {**CSV, "enforceSchema": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED, "columnPruning": "false"}
+    return reader.options(**options).schema(schema)
+
+
+def read_landing_marked(spark: SparkSession, root: str, table: str) -> DataFrame:
+    return marked(spark.read, table).csv(landing_path(root, table))
+
+
 def write_landing(df: DataFrame, root: str, table: str) -> str:
     """Replace the landing copy of a table: a folder of headered CSV parts.
 

@@ -12,28 +12,31 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lapidar.functions.expressions import tolerant_cast
 from lapidar.operators.ingest import AUDIT_COLUMNS
-from lapidar.plans.jobs import FACT_SOURCES, MOVED, merge_fact, merge_silver
+from lapidar.operators.typing import cast_loss_counts
+from lapidar.plans.jobs import CHANGED, FACT_SOURCES, append_bronze, merge_fact, merge_silver, noted_orders
 from lapidar.sources.lake import Lake
-from lapidar.sources.landing import CSV, landing_path
+from lapidar.sources.landing import landing_path, marked
 from lapidar.sources.schemas import raw_schema, table_schema
 
+# Files of a table that one micro-batch takes at most: the first run has the whole history before it.
+FILES_PER_BATCH = 1000
+
 
 def _now() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
 
-def stream_bronze(lake: Lake, landing: str, table: str, checkpoint: str) -> StreamingQuery:
+def stream_bronze(
+    lake: Lake, landing: str, table: str, checkpoint: str, files_per_batch: int = FILES_PER_BATCH
+) -> StreamingQuery:
     """Append each new landing file to bronze exactly once.
 
     Every micro-batch is a batch of the bronze table, beside those of batch loads; one that
-    is replayed replaces itself. The ingestion time is fixed per micro-batch.
+    is replayed replaces itself. The ingestion time is fixed per micro-batch. Malformed rows
+    go to the quarantine.
     """
-    files = (
-        lake.spark.readStream.options(**CSV)
-        .option("enforceSchema", False)
-        .schema(raw_schema(table))
-        .csv(landing_path(landing, table))
-    )
+    reader = marked(lake.spark.readStream, table).option("maxFilesPerTrigger", files_per_batch)
+    files = reader.csv(landing_path(landing, table))
     rows = files.select(
         "*",
         F.current_timestamp().alias("_ingestion_timestamp"),
@@ -44,7 +47,7 @@ def stream_bronze(lake: Lake, landing: str, table: str, checkpoint: str) -> Stre
     stream = hashlib.md5(place.encode()).hexdigest()
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        lake.append(batch, "bronze", table, f"s{stream}-{batch_id}")
+        append_bronze(lake, batch, table, f"s{stream}-{batch_id}")
 
     return _for_each_batch(rows, load, place)
 
@@ -55,16 +58,25 @@ def stream_silver_upsert(
     checkpoint: str,
     key_types: Mapping[str, str] | None = None,
     clock: Callable[[], str] = _now,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Upsert every micro-batch of bronze rows into silver.
 
     A micro-batch that is replayed finds its rows in silver already and changes nothing.
+    The progress of the query has the rows read and the values that no cast keeps, per
+    column, under the table's name in ``observedMetrics``.
     """
+    counts = [F.count(F.lit(1)).alias("recebidas"), *cast_loss_counts(table_schema(table, key_types))]
+    bronze = _bronze_stream(lake, table, files_per_batch).observe(f"silver_{table}", *counts)
 
     def load(rows: DataFrame, batch_id: int) -> None:
-        merge_silver(lake, rows, table, clock(), key_types)
+        rows = rows.persist()  # computed once, so its counts hold
+        try:
+            merge_silver(lake, rows, table, clock(), key_types)
+        finally:
+            rows.unpersist()
 
-    return _for_each_batch(_bronze_stream(lake, table), load, f"{checkpoint}/silver_{table}")
+    return _for_each_batch(bronze, load, f"{checkpoint}/silver_{table}")
 
 
 def stream_fact(
@@ -72,6 +84,7 @@ def stream_fact(
     checkpoint: str,
     key_types: Mapping[str, str] | None = None,
     clock: Callable[[], str] = _now,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Carry new bronze rows of orders, items and payments through silver into the fact.
 
@@ -82,23 +95,24 @@ def stream_fact(
     place = f"{checkpoint}/fato_vendas"
     name, union = hashlib.md5(place.encode()).hexdigest(), None
     for table in FACT_SOURCES:
-        stream = _bronze_stream(lake, table)
+        stream = _bronze_stream(lake, table, files_per_batch)
         union = stream if union is None else union.unionByName(stream, allowMissingColumns=True)
 
     def load(rows: DataFrame, batch_id: int) -> None:
         rows = rows.persist()
         try:
             batch_ts = clock()
-            label = {t: f"s{name}-{batch_id}-{t}" for t in FACT_SOURCES}
+            note = f"s{name}-{batch_id}"
             for table in FACT_SOURCES:
                 columns = (*raw_schema(table).names, *AUDIT_COLUMNS)
                 of_table = rows.filter(F.col("_source_table") == table).select(*columns)
-                merge_silver(lake, of_table, table, batch_ts, key_types, label[table])
+                merge_silver(lake, of_table, table, batch_ts, key_types, note)
             order_type = table_schema("pedidos", key_types)["id_pedido"].dataType
             ids = rows.select(tolerant_cast("id_pedido", order_type).alias("id_pedido"))
             # also those that its rows have left, noted now or by an earlier run of this micro-batch
-            for batch in filter(lambda b: lake.has_batch("silver", MOVED, b), label.values()):
-                ids = ids.unionByName(lake.read_batch("silver", MOVED, batch).select(F.col("id_pedido").cast(order_type)))
+            notes = [b for b in lake.batches("silver", CHANGED) if b.endswith(f".{note}")]
+            for left in noted_orders(lake, order_type, notes):
+                ids = ids.unionByName(left)
             merge_fact(lake, ids, batch_ts)
         finally:
             rows.unpersist()
@@ -106,11 +120,12 @@ def stream_fact(
     return _for_each_batch(union, load, place)
 
 
-def _bronze_stream(lake: Lake, table: str) -> DataFrame:
+def _bronze_stream(lake: Lake, table: str, files_per_batch: int) -> DataFrame:
     schema = raw_schema(table).add("_ingestion_timestamp", "timestamp")
     for name in AUDIT_COLUMNS[1:]:
         schema = schema.add(name, "string")
-    return lake.spark.readStream.schema(schema).parquet(lake.path("bronze", table)).select(*schema.names)
+    reader = lake.spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(lake.path("bronze", table)).select(*schema.names)
 
 
 def _for_each_batch(

@@ -134,11 +134,11 @@ def test_changed_rows_is_null_safe_and_respects_age(spark):
 
 def test_silver_load_twice_changes_nothing(spark, lake):
     lake.append(bronze(spark, [("1", "a", "2024-01-01", "f"), ("2", "b", "2024-01-01", "f")]), "bronze", "metodos_pagamento")
-    assert load_silver(lake, "metodos_pagamento", "2024-02-01") == 2
-    assert load_silver(lake, "metodos_pagamento", "2024-02-02") == 0
+    assert load_silver(lake, "metodos_pagamento", "2024-02-01").gravadas == 2
+    assert load_silver(lake, "metodos_pagamento", "2024-02-02").gravadas == 0
     # the same content again, with a later ingestion time
     lake.append(bronze(spark, [("1", "a", "2024-01-02", "g"), ("2", "B", "2024-01-02", "g")]), "bronze", "metodos_pagamento")
-    assert load_silver(lake, "metodos_pagamento", "2024-02-03") == 1
+    assert load_silver(lake, "metodos_pagamento", "2024-02-03").gravadas == 1
     assert rows(lake.read("silver", "metodos_pagamento"), "id_metodo", "tipo_pagamento", "_silver_processed_at") == [
         (1, "a", datetime(2024, 2, 1)),
         (2, "B", datetime(2024, 2, 3)),
@@ -169,10 +169,10 @@ def test_only_touched_key_ranges_are_rewritten_and_old_batches_do_not_win(spark,
     merge_silver(lake, orders_batch(spark, [("1", "Pendente"), (far, "Pendente")], "2024-01-02"), "pedidos", "2024-02-01")
     assert lake.parts("silver", "pedidos") == ["k0", "k2"]
     before = set(lake.read("silver", "pedidos", ["k2"]).inputFiles())
-    assert merge_silver(lake, orders_batch(spark, [("1", "Concluído"), ("2", "Pendente")], "2024-01-03"), "pedidos", "2024-02-02") == 2
+    assert merge_silver(lake, orders_batch(spark, [("1", "Concluído"), ("2", "Pendente")], "2024-01-03"), "pedidos", "2024-02-02").gravadas == 2
     assert set(lake.read("silver", "pedidos", ["k2"]).inputFiles()) == before
     # a replayed older batch
-    assert merge_silver(lake, orders_batch(spark, [("1", "Cancelado")], "2024-01-01"), "pedidos", "2024-02-03") == 0
+    assert merge_silver(lake, orders_batch(spark, [("1", "Cancelado")], "2024-01-01"), "pedidos", "2024-02-03").gravadas == 0
     assert rows(lake.read("silver", "pedidos"), "id_pedido", "status_pedido") == [
         (1, "Concluído"), (2, "Pendente"), (int(far), "Pendente"),
     ]
@@ -180,5 +180,5 @@ def test_only_touched_key_ranges_are_rewritten_and_old_batches_do_not_win(spark,
 
 def test_new_key_range_is_added(spark, lake):
     merge_silver(lake, orders_batch(spark, [("1", "Pendente")], "2024-01-01"), "pedidos", "2024-02-01")
-    assert merge_silver(lake, orders_batch(spark, [("90000000", "Pendente")], "2024-01-02"), "pedidos", "2024-02-02") == 1
+    assert merge_silver(lake, orders_batch(spark, [("90000000", "Pendente")], "2024-01-02"), "pedidos", "2024-02-02").gravadas == 1
     assert lake.read("silver", "pedidos").count() == 2
