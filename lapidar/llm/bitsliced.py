@@ -8,9 +8,13 @@ slices, and the best rows are picked from the most significant slice downward. R
 boundary are told apart by vec_id, in whose order a block is sorted. Every query meets every block;
 a second step ranks the few rows each block returns.
 
-Defined results: vectors that are null or hold a null, a non-finite component or one whose product
-would not fit a long (256 * x of 2^27 or more) take no part, nor do rows without vec_id; shorter
-vectors are padded with zeros; repeated vec_ids count as rows of their own among the candidates,
+Components and scores are whole numbers of any size: rows with a component of 2^27 or more go to
+blocks of their own, which compute beyond 64 bits. ``score`` is null where it passes a long, ``exact``
+has every score as text.
+
+Defined results: vectors that are null or hold a null or a non-finite component take no part, nor do
+those with a component whose 256-fold passes a double, nor rows without vec_id; shorter vectors are
+padded with zeros; repeated vec_ids count as rows of their own among the candidates,
 as one query (their smallest vector) among the queries, and never answer themselves; ties go to the
 smaller vec_id; fewer than k candidates give as many rows; other columns are ignored.
 """
@@ -31,38 +35,48 @@ SCALE = 256
 TOP = 5
 QUERIES_EVERY = 50
 BLOCK_ROWS = 32_768
-LARGEST = float(1 << 27)
+NARROW, WIDE_ROWS = float(1 << 27), 256  # components of ordinary blocks; rows of the others
+QUERY_ROWS = 256
 BLOCK = "lane long, ids binary, lows binary, bits binary, slices binary"
-HITS = "query_id long, vec_id long, score long"
+HITS = "query_id long, vec_id long, score long, exact string, key string"
 
 
 def quantised(embeddings: DataFrame) -> DataFrame:
-    """vec_id, vector: whole numbers of equal dimension; rows that take no part are gone."""
-    whole = lambda x: F.floor(x.cast("double") * SCALE)
-    fits = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x.cast("double") * SCALE) < LARGEST))
+    """vec_id, vector: whole numbers (as doubles, which hold them exactly) of equal dimension; rows that take no part are gone."""
+    scaled = F.transform("embedding", lambda x: x.cast("double") * SCALE)
+    fits = F.forall(scaled, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))  # not true of NaN, the greatest of all
     rows = embeddings.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fits)
     size = rows.agg(F.max(F.size("embedding"))).first()[0] or 0
-    vector = F.transform("embedding", lambda x: whole(x).cast("int"))
-    padded = F.concat(vector, F.array_repeat(F.lit(0), F.lit(size) - F.size("embedding")))
+    # a double of 2^52 or more has no fraction
+    vector = F.transform(scaled, lambda x: F.when(F.abs(x) < float(1 << 52), F.floor(x).cast("double")).otherwise(x))
+    padded = F.concat(vector, F.array_repeat(F.lit(0.0), F.lit(size) - F.size("embedding")))
     return rows.select("vec_id", padded.alias("vector"))
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     column = batch.column("vector")
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _whole(values: np.ndarray) -> np.ndarray:
+    """Doubles without a fraction as whole numbers: 64-bit, or Python's where these don't suffice."""
+    if np.abs(values).max(initial=0) < float(1 << 62):
+        return values.astype(np.int64)
+    return np.array([int(x) for x in values.ravel()], dtype=object).reshape(values.shape)
 
 
 def _block(lane: int, ids: np.ndarray, values: np.ndarray) -> dict:
     order = np.argsort(ids, kind="stable")
-    ids, values = ids[order], values[order]
+    ids, lows, values = ids[order], values.min(axis=0), _whole(values[order])
     words = -(-len(ids) // 64)
-    lows = values.min(axis=0)
-    bits = np.array([int(x).bit_length() for x in values.max(axis=0) - lows], dtype=np.int64)
+    least = _whole(lows).astype(values.dtype)
+    bits = np.array([int(x).bit_length() for x in values.max(axis=0) - least], dtype=np.int64)
     slices = np.zeros((int(bits.sum()), words * 8), dtype=np.uint8)
     at = 0
     for i, n in enumerate(bits):
-        shifted = (values[:, i] - lows[i])[None, :] >> np.arange(n)[:, None]
-        packed = np.packbits((shifted & 1).astype(np.uint8), axis=1, bitorder="little")
+        above = values[:, i] - least[i]
+        shifts = np.arange(n) if values.dtype != object else np.array(range(n), dtype=object)
+        packed = np.packbits(((above[None, :] >> shifts[:, None]) & 1).astype(np.uint8), axis=1, bitorder="little")
         slices[at : at + n, : packed.shape[1]] = packed
         at += n
     parts = {"ids": ids, "lows": lows, "bits": bits, "slices": slices}
@@ -70,30 +84,50 @@ def _block(lane: int, ids: np.ndarray, values: np.ndarray) -> dict:
 
 
 def build_blocks(batches: Iterator[pa.RecordBatch], rows: int = BLOCK_ROWS) -> Iterator[pa.RecordBatch]:
-    """Blocks of at most ``rows`` vectors of a partition, in the order they are read."""
+    """Blocks of at most ``rows`` vectors of a partition, in the order they are read; large components apart, by their size."""
     schema = pa.schema([("lane", pa.int64()), *((k, pa.binary()) for k in ("ids", "lows", "bits", "slices"))])
-    lane, ids, values = TaskContext.get().partitionId() << 32, [], []
+    lane, held = TaskContext.get().partitionId() << 32, {}
 
-    def out() -> pa.RecordBatch:
+    def out(size: int) -> pa.RecordBatch:
+        nonlocal lane
+        ids, values = zip(*held.pop(size), strict=True)
+        lane += 1
         return pa.RecordBatch.from_pylist([_block(lane, np.concatenate(ids), np.concatenate(values))], schema=schema)
 
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            part = batch.slice(start, rows)
-            if ids and sum(map(len, ids)) + part.num_rows > rows:
-                yield out()
-                lane, ids, values = lane + 1, [], []
-            ids.append(part.column("vec_id").to_numpy())
-            values.append(_matrix(part))
-    if sum(map(len, ids)):
-        yield out()
+        every_id, every = batch.column("vec_id").to_numpy(), _matrix(batch)
+        most = np.abs(every).max(axis=1, initial=0.0)
+        sizes = np.where(most < NARROW, 0, np.frexp(most)[1] // 64 + 1)
+        for size in np.unique(sizes):
+            at = np.flatnonzero(sizes == size)
+            limit = min(rows, WIDE_ROWS) if size else rows
+            while len(at):
+                here = held.setdefault(int(size), [])
+                part, at = np.split(at, [limit - sum(len(i) for i, _ in here)])
+                here.append((every_id[part], every[part]))
+                if sum(len(i) for i, _ in here) >= limit:
+                    yield out(int(size))
+    for size in list(held):
+        yield out(size)
+
+
+def sort_key(n: int) -> str:
+    """Text that sorts like the whole numbers, of up to 9999 hexadecimal digits."""
+    digits = f"{abs(n):x}"
+    if n >= 0:
+        return f"1{len(digits):04d}{digits}"
+    return f"0{9999 - len(digits):04d}" + digits.translate(_COMPLEMENT)
+
+
+_COMPLEMENT = str.maketrans("0123456789abcdef", "fedcba9876543210")
 
 
 class Block:
     """Bitmaps of a block; ``best`` adds and selects."""
 
     def __init__(self, row: dict) -> None:
-        self.ids, self.lows, self.bits = (np.frombuffer(row[k], dtype=np.int64) for k in ("ids", "lows", "bits"))
+        self.ids, self.bits = (np.frombuffer(row[k], dtype=np.int64) for k in ("ids", "bits"))
+        self.lows = [int(x) for x in np.frombuffer(row["lows"])]
         words = -(-len(self.ids) // 64)
         slices = np.frombuffer(row["slices"], dtype=np.uint64).reshape(-1, words)
         self.every = np.full(words, np.uint64(2**64 - 1))
@@ -105,13 +139,15 @@ class Block:
 
     def sum_slices(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """Slices of the weighted sum, least significant first, and the constant to add to it."""
-        size, negative = np.abs(query), query < 0
-        masks = (1 << self.bits) - 1
-        constant = int((size * np.where(negative, -(self.lows + masks), self.lows)).sum())
+        size, negative = np.abs(query), (query < 0).astype(bool)
+        constant = sum(
+            -int(n) * (low + (1 << int(b)) - 1) if minus else int(n) * low
+            for n, minus, low, b in zip(size, negative, self.lows, self.bits, strict=True)
+        )
         source, weight = [], []
         of, sign = size[self.attribute], negative[self.attribute]
-        for shift in range(int(size.max(initial=0)).bit_length()):
-            chosen = np.flatnonzero((of >> shift) & 1)
+        for shift in range(int(max(size, default=0)).bit_length()):
+            chosen = np.flatnonzero(((of >> shift) & 1).astype(bool))
             source.append(chosen + np.where(sign[chosen], len(of), 0))
             weight.append(self.bit[chosen] + shift)
         if not source:
@@ -169,39 +205,63 @@ def _positions(bitmap: np.ndarray, n: int) -> list[int]:
     return found[:n]
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Queries in packs: their ids, and their vectors in four bytes a component where all of them fit."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, QUERY_ROWS):
+            part = batch.slice(start, QUERY_ROWS)
+            values = _matrix(part)
+            narrow = values.astype("<i4") if np.abs(values).max(initial=0) < float(1 << 31) else values
+            columns = [part.column("vec_id").to_numpy().tobytes(), narrow.tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], names=["ids", "lows"])
+
+
+def _queries(row: dict) -> Iterator[tuple[int, np.ndarray]]:
+    ids = np.frombuffer(row["ids"], dtype=np.int64)
+    width = 1 if not row["lows"] else len(row["lows"]) // len(ids)
+    for i, query_id in enumerate(ids):
+        yield int(query_id), row["lows"][i * width : (i + 1) * width]
+
+
 def _answer(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """A block's row comes first, then all queries."""
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-    block = None
+    """A block's row comes first, then all packs of queries."""
+    names, block = [c.split()[0] for c in HITS.split(", ")], None
+    schema = pa.schema(list(zip(names, [pa.int64()] * 3 + [pa.string()] * 2, strict=True)))
     for batch in batches:
-        hits: list[tuple[int, int, int]] = []
+        hits: list[dict] = []
         for row in batch.to_pylist():
             if row["slices"] is not None:
                 block = Block(row)
-            else:
-                hits += block.best(row["vec_id"], np.array(row["vector"], dtype=np.int64), k)
-        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, h, strict=True)) for h in hits], schema=schema)
+                continue
+            for query_id, raw in _queries(row):
+                four = len(raw) == 4 * len(block.bits)
+                query = np.frombuffer(raw, "<i4").astype(np.int64) if four else _whole(np.frombuffer(raw))
+                for hit in block.best(query_id, query, k):
+                    fits = -(1 << 63) <= hit[2] < 1 << 63
+                    values = (*hit[:2], hit[2] if fits else None, str(hit[2]), sort_key(hit[2]))
+                    hits.append(dict(zip(names, values, strict=True)))
+        yield pa.RecordBatch.from_pylist(hits, schema=schema)
 
 
 def top_k(embeddings: DataFrame, is_query: Column, k: int = TOP, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """query_id, rank, vec_id, score for every row where ``is_query`` holds, against all other rows."""
+    """query_id, rank, vec_id, score, exact for every row where ``is_query`` holds, against all other rows."""
     rows = quantised(embeddings)
     index = written(rows.mapInArrow(lambda it: build_blocks(it, block_rows), BLOCK), "bit-slices")
-    asked = written(rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector")), "vec-queries")
+    asked = rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    packs = written(asked.mapInArrow(_packed, "ids binary, lows binary"), "vec-queries")
     lanes = index.count()
-    numbered = _numbered(index)
-    none = lambda c: F.lit(None).cast(c)
-    blocks = numbered.select("place", none("long").alias("vec_id"), none("array<int>").alias("vector"), "ids", "lows", "bits", "slices")
+    blocks = _numbered(index).select("place", "ids", "lows", "bits", "slices")
     each = F.explode(F.sequence(F.lit(0), F.lit(max(lanes, 1) - 1))).alias("place")
-    queries = asked.select(each, "vec_id", "vector", *(none("binary").alias(c) for c in ("ids", "lows", "bits", "slices")))
+    queries = packs.select(each, "ids", "lows", *(F.lit(None).cast("binary").alias(c) for c in ("bits", "slices")))
     met = (
         blocks.unionByName(queries)
         .repartitionByRange(max(lanes, 1), "place")
         .sortWithinPartitions("place", F.col("slices").isNull())
         .mapInArrow(lambda it: _answer(it, k), HITS)
     )
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = Window.partitionBy("query_id").orderBy(F.col("key").desc(), "vec_id")
+    ranked = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score", "exact")
 
 
 def _numbered(index: DataFrame) -> DataFrame:
