@@ -58,9 +58,13 @@ def qa_dashboard(fact: DataFrame, view: DataFrame) -> DataFrame:
         F.countDistinct(F.when(done, F.col("id_pedido"))).alias("concluidos_fato"),
     )
     items = view.groupBy("id_item").agg(rows.alias("n"), F.count_if(done).alias("concluidas"))
-    amounts = fact.groupBy("id_item").agg(F.sum("valor_total_item").alias("valor"))
+    # the clients' keys are hashes already; as numbers they need no sort
+    client = F.when(F.col("sk_cliente").isNotNull(), F.xxhash64("sk_cliente"))
+    amounts = fact.groupBy("id_item").agg(F.sum("valor_total_item").alias("valor"), F.min(client).alias("cliente"))
     of_items = items.join(amounts, "id_item", "left").agg(
-        F.count("id_item").alias("itens"), F.coalesce(F.sum(F.col("valor") * F.col("concluidas")), F.lit(0)).alias("direta")
+        F.count("id_item").alias("itens"),
+        F.coalesce(F.sum(F.col("valor") * F.col("concluidas")), F.lit(0)).alias("direta"),
+        F.countDistinct("cliente").alias("clientes_view"),
     )
     # three frames of one row, side by side
     parts = of_view.unionByName(of_fact, allowMissingColumns=True).unionByName(of_items, allowMissingColumns=True)
@@ -69,8 +73,8 @@ def qa_dashboard(fact: DataFrame, view: DataFrame) -> DataFrame:
         "1_linhas_da_view": (F.col("linhas"), F.col("linhas_fato")),
         "2_receita_total": (F.col("receita"), F.col("direta")),
         "3_total_pedidos": (F.col("pedidos"), F.col("pedidos_fato")),
-        # clients are counted on the fact: the view does not show their keys
-        "4_clientes_unicos": (F.col("clientes"), F.col("clientes")),
+        # the view does not show the clients' keys: they are those of its items
+        "4_clientes_unicos": (F.col("clientes_view"), F.col("clientes")),
         "5_ticket_medio": (
             ratio(F.col("receita"), F.col("concluidos")),
             ratio(F.col("receita_fato"), F.col("concluidos_fato")),

@@ -32,6 +32,7 @@ from lapidar.sources.lake import Lake
 from lapidar.sources.landing import MALFORMED, assert_not_empty, read_landing_marked
 from lapidar.sources.schemas import (
     GOLD_INPUTS,
+    KEY_BUCKETS,
     KEY_RANGE,
     PROCESSING_ORDER,
     primary_key,
@@ -150,7 +151,8 @@ def merge_silver(
     written; ``noted_as`` ends the note's label.
 
     Rows equal to what silver holds are left alone. Of a table split by key only the
-    touched parts are read and rewritten. A row whose newest version breaks a rule
+    touched parts are read and rewritten; one that is laid out in another way is read
+    whole and split by this load. A row whose newest version breaks a rule
     keeps its earlier silver version, and rows deleted at the source stay.
     """
     if bronze.isEmpty():
@@ -171,7 +173,11 @@ def merge_silver(
     changed = None
     try:
         touched = None if part is None else _labels(rows, part)
-        known = None if part is None else set(touched) & set(lake.parts("silver", table))
+        held = [] if part is None else lake.parts("silver", table)
+        other_layout = any(not label.startswith(part_prefix(table, key_types)) for label in held)
+        if other_layout:
+            touched = {*touched, *held}
+        known = None if part is None or other_layout else set(touched) & set(held)
         if known is None or known:
             target = lake.read("silver", table, known)
             changed = changed_rows(
@@ -224,14 +230,23 @@ def open_notes(lake: Lake, taken: set[str]) -> list[str]:
 def key_part(table: str, key_types: Mapping[str, str] | None = None) -> Column | None:
     """Label of the part a row of a large table belongs to; None for tables kept whole.
 
-    Text keys have no ranges that new rows would gather in, so splitting would spare
-    nothing: any batch would touch every part.
+    Numbers are split by range, as new rows gather in the last ones. Text keys have no such
+    ranges and are split by hash: a batch of few keys touches few buckets, one of very many
+    all of them.
     """
-    key = primary_key(table)
-    is_text = isinstance(table_schema(table, key_types)[key].dataType, StringType)
-    if table not in KEY_RANGE or is_text:
+    prefix, key = part_prefix(table, key_types), F.col(primary_key(table))
+    if prefix is None:
         return None
-    return F.concat(F.lit("k"), F.floor(F.col(key) / F.lit(KEY_RANGE[table])))
+    number = F.floor(key / F.lit(KEY_RANGE[table])) if prefix == "k" else F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS))
+    return F.concat(F.lit(prefix), number)
+
+
+def part_prefix(table: str, key_types: Mapping[str, str] | None = None) -> str | None:
+    """How the labels of a table's parts begin; it tells the layout."""
+    if table not in KEY_RANGE:
+        return None
+    is_text = isinstance(table_schema(table, key_types)[primary_key(table)].dataType, StringType)
+    return f"h{KEY_BUCKETS}_" if is_text else "k"
 
 
 # -- gold dimensions -----------------------------------------------------------------

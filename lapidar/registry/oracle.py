@@ -359,7 +359,10 @@ def _dashboard_checks() -> str:
             "(SELECT count(DISTINCT id_pedido) FROM vw)",
             "(SELECT count(DISTINCT id_pedido) FROM fato)",
         ),
-        "4_clientes_unicos": ("(SELECT count(DISTINCT sk_cliente) FROM fato)",) * 2,
+        "4_clientes_unicos": (
+            "(SELECT count(DISTINCT sk_cliente) FROM fato WHERE id_item IN (SELECT id_item FROM vw))",
+            "(SELECT count(DISTINCT sk_cliente) FROM fato)",
+        ),
         "5_ticket_medio": (
             ticket,
             "(SELECT coalesce(CAST(sum(valor_total_item) AS DOUBLE) / nullif(count(DISTINCT id_pedido), 0), 0) "

@@ -48,6 +48,9 @@ KEY_RANGE = {
     "itens_pedido": 50_000_000,
     "pagamentos_pedido": 50_000_000,
 }
+# Where the key of such a table is text, it is split into so many buckets by hash. With another
+# number the next load that changes rows lays the table out anew.
+KEY_BUCKETS = 64
 
 
 def check_table(table: str) -> None:

@@ -114,6 +114,8 @@ def test_dashboard_reconciliation(sales):
     assert failed(qa_dashboard(sales, repeated)) == {"1_linhas_da_view", "5_ticket_medio", "8_id_item_unico"}
     dearer = sales.withColumn("valor_total_item", F.col("valor_total_item") + 1)
     assert failed(qa_dashboard(sales, dearer)) == {"2_receita_total", "5_ticket_medio"}
+    gone = sales.filter(~F.col("sk_cliente").eqNullSafe(sales.agg(F.min("sk_cliente")).first()[0]))
+    assert "4_clientes_unicos" in failed(qa_dashboard(sales, gone))
     pending = sales.filter("status_pedido = 'Pendente'")
     assert failed(qa_dashboard(pending, pending)) == set()
 

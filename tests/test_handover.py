@@ -13,6 +13,7 @@ from lapidar.plans import jobs
 from lapidar.plans.jobs import PENDING, load_bronze, load_dimension, load_fact, load_silver, merge_silver, quarantine_of, run_layer
 from lapidar.plans.sales import FACT
 from lapidar.sources.landing import landing_path
+from lapidar.sources.schemas import KEY_BUCKETS
 from lapidar.streaming.streams import stream_bronze, stream_silver_upsert
 
 
@@ -53,6 +54,37 @@ def test_a_late_batch_with_older_rows_changes_no_newer_ones(spark, lake):
     assert rows(lake.read("silver", METHOD), "id_metodo", "tipo_pagamento") == [(1, "new"), (2, "late")]
 
 
+def _items(keys, price="5.00"):
+    return [(f"i{k}", 1, 1, 1, price) for k in keys]
+
+
+def test_a_batch_of_few_text_keys_rewrites_their_buckets_only(spark, lake):
+    kinds, table = {"id_item": "string"}, "itens_pedido"
+    bronze(spark, lake, table, _items(range(600)), "2024-01-01", "b1")
+    assert load_silver(lake, table, "2024-01-01", kinds).gravadas == 600
+    before = set(lake.read("silver", table).inputFiles())
+    bronze(spark, lake, table, _items([3, 4], "6.00") + _items([5, 900]), "2024-01-02", "b2")
+    assert load_silver(lake, table, "2024-01-02", kinds).gravadas == 3  # item 5 is as it was
+    silver = lake.read("silver", table)
+    assert len(before - set(silver.inputFiles())) <= 4 * len(before) / KEY_BUCKETS + 1
+    assert silver.count() == silver.select("id_item").distinct().count() == 601
+    assert rows(silver.filter("preco_unitario = 6"), "id_item") == [("i3",), ("i4",)]
+
+
+def test_a_table_in_another_layout_is_split_by_the_next_change(spark, lake):
+    kinds, table = {"id_item": "string"}, "itens_pedido"
+    bronze(spark, lake, table, _items(range(20)), "2024-01-01", "b1")
+    load_silver(lake, table, "2024-01-01", kinds)
+    lake.publish(lake.read("silver", table), "silver", table)
+    assert lake.parts("silver", table) == [""]
+    bronze(spark, lake, table, _items([0], "7.00") + _items([30]), "2024-01-02", "b2")
+    assert load_silver(lake, table, "2024-01-02", kinds).gravadas == 2
+    silver = lake.read("silver", table)
+    assert silver.count() == silver.select("id_item").distinct().count() == 21
+    assert rows(silver.filter("preco_unitario = 7"), "id_item") == [("i0",)]
+    assert all(label.startswith(f"h{KEY_BUCKETS}_") for label in lake.parts("silver", table))
+
+
 def test_silver_loads_of_the_same_time_reach_the_fact(spark, lake):
     publish_dims(spark, lake)
     same = "2024-07-01 00:00:00"
