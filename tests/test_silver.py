@@ -27,7 +27,7 @@ def bronze(spark, data):
     return df.withColumn("_ingestion_timestamp", F.col("_ingestion_timestamp").cast("timestamp"))
 
 
-def test_schemas_cover_ten_tables():
+def test_schemas_cover_ten_tables(spark):  # types are parsed by a session
     assert set(PROCESSING_ORDER) == set(COLUMNS) and len(COLUMNS) == 10
     assert len(GOLD_INPUTS) == 9 and "enderecos" not in GOLD_INPUTS
     assert primary_key("itens_pedido") == "id_item"
