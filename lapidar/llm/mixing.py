@@ -107,7 +107,8 @@ def mixture(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents in their own columns, each as often as the mix takes it."""
     placed = located(docs)
     taken = written(mixed(sized(placed)).where("copies > 0").select(FILE, ROW, "copies"), "taken")
-    rows = placed.join(taken.withColumnRenamed("copies", "_llm_copies"), [FILE, ROW])
+    # texts are joined by a shuffle whatever their number: one plan for all sizes
+    rows = placed.join(taken.withColumnRenamed("copies", "_llm_copies").hint("merge"), [FILE, ROW])
     return rows.withColumn("_llm_copy", F.explode(F.sequence(F.lit(1), F.col("_llm_copies").cast("int")))).select(
         own_columns(placed)
     )
