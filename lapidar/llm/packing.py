@@ -17,7 +17,9 @@ from __future__ import annotations
 import array
 import bisect
 import functools
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,6 +37,10 @@ VOCABULARY = "word_bpe_49k.json"
 PIECES_PER_BUCKET = 100_000
 CACHED_WORDS = 1_000_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+# How the vocabulary cuts words, its own pattern and that for lower-case words of PLAIN characters.
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PLAIN_CUTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
 @functools.cache
@@ -49,24 +55,71 @@ class Encoder:
     """Token ids of texts, put together from those of their words.
 
     White space ends every token of this vocabulary, so the words of a text can be encoded one by
-    one; each different word is encoded once while it is in the cache.
+    one; each different word is encoded once while it is in the cache. A word of ASCII and Latin
+    letters is put together in turn from the runs of letters, digits and marks that no token of the
+    vocabulary leaves, which many words share; any other word is encoded as a whole.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS) -> None:
-        self.tokenizer, self.cached, self.known = _tokenizer(path), cached, {}
+        self.tokenizer, self.cached, self.known, self.parts = _tokenizer(path), cached, {}, {}
+        own = json.loads(self.tokenizer.to_str())
+        self.special = [t["content"] for t in own["added_tokens"]]
+        suffix = own["model"].get("end_of_word_suffix") if _cuts_words(own["normalizer"], own["pre_tokenizer"]) else None
+        self.last = None  # of each id, whether it ends a run
+        if suffix:
+            tokens = self.tokenizer.get_vocab()
+            self.last = np.zeros(max(tokens.values()) + 1, dtype=bool)
+            self.last[[i for t, i in tokens.items() if t.endswith(suffix)]] = True
 
     def ids(self, texts: list[bytes], at_once: int = 256) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         for i in range(0, len(texts), at_once):
             if len(self.known) > self.cached:
                 self.known = {}
+            if len(self.parts) > self.cached // 2:
+                self.parts = {}
             known, split = self.known, [t.split() for t in texts[i : i + at_once]]
-            new = list(set().union(*split).difference(known))
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            known.update(zip(new, (array.array("I", x.ids).tobytes() for x in found), strict=True))
+            self._learn(list(set().union(*split).difference(known)))
             for words in split:
                 yield b"".join(map(known.__getitem__, words))
 
+    def _learn(self, new: list[bytes]) -> None:
+        text = b"\n".join(new).decode("utf-8", "replace")  # no word has a line end
+        special, whole, cut = [s for s in self.special if s in text], [], []
+        for word, own in zip(new, text.split("\n")):
+            if self.last is None or not PLAIN.fullmatch(own) or special and any(s in own for s in special):
+                whole.append((word, own))
+            else:
+                cut.append((word, PLAIN_CUTS.findall(own.lower())))
+        found = self.tokenizer.encode_batch_fast([own for _, own in whole], add_special_tokens=False)
+        self.known.update((word, array.array("I", x.ids).tobytes()) for (word, _), x in zip(whole, found, strict=True))
+        parts = self.parts
+        self._encode_parts(list(set().union(*(runs for _, runs in cut)).difference(parts)))
+        self.known.update((word, parts[runs[0]] if len(runs) == 1 else b"".join([parts[x] for x in runs])) for word, runs in cut)
+
+    def _encode_parts(self, new: list[str], at_once: int = 500) -> None:
+        """Many runs as one text: a call costs more than the tokens of a run."""
+        for i in range(0, len(new), at_once):
+            runs = new[i : i + at_once]
+            (found,) = self.tokenizer.encode_batch_fast([" ".join(runs)], add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4")
+            ends, data = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist(), ids.tobytes()
+            self.parts.update((run, data[a:b]) for run, a, b in zip(runs, [0, *ends], ends, strict=False))
+            if len(ends) != len(runs):
+                raise ValueError("a run of letters, digits or marks is not one word of the vocabulary")
+
+
+def _cuts_words(normalizer: dict | None, pre_tokenizer: dict | None) -> bool:
+    """Whether a tokenizer lower-cases its text and cuts it by CUTS, and does nothing else to PLAIN words."""
+    kinds = [x["type"] for x in (normalizer or {}).get("normalizers", ())]
+    steps = (pre_tokenizer or {}).get("pretokenizers", ())
+    if kinds != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in steps] != ["Split", "ByteLevel"]:
+        return False
+    split, level = steps
+    spaces = normalizer["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
+    cuts = split["pattern"] == {"Regex": CUTS} and split["behavior"] == "Removed" and split["invert"]
+    return spaces and cuts and not level["add_prefix_space"] and not level["use_regex"]
+
 
 @functools.cache
 def _encoder(path: str) -> Encoder:

@@ -81,6 +81,51 @@ TEXTS = [
 ]
 
 
+def test_words_that_share_their_letters_are_encoded_once():
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.calls, self.got = tokenizer, 0, []
+
+        def encode_batch_fast(self, texts, **kinds):
+            self.calls += len(texts)
+            self.got += [run for text in texts for run in text.split()]
+            return self.tokenizer.encode_batch_fast(texts, **kinds)
+
+    encoder = packing.Encoder(public_tokenizers.path(packing.VOCABULARY))
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    texts = ["Hello, hello! HELLO, hello...", "hello?! \u00c9t\u00e9, \u00e9t\u00e9.", "x7x it's"]
+    found = list(encoder.ids([t.encode() for t in texts]))
+    whole = counted.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [x.ids for x in whole]
+    assert sorted(counted.got) == sorted({"hello", ",", "!", "...", "?!", "\u00e9t\u00e9", ".", "x", "7", "it", "'s"})
+    assert counted.calls == 1
+
+
+MARKS = st.text("abzAZ019'.,!<>|_\u00c9\u00e9\u00df\u00d7\u00f7\u00aa\u00ba\u00b2\u00a0\u0085\u001c\u0301\u0130\u03a3 \t\nstmdrevl", max_size=30)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(MARKS, st.sampled_from(["<|endoftext|>", "<|ENDOFTEXT|>", "x<|startoftext|>y", "'LL", "</w>"])), max_size=8))
+def test_ids_are_those_of_the_whole_text(pieces):
+    encoder = packing._encoder(public_tokenizers.path(packing.VOCABULARY))
+    for text in ("".join(pieces), " ".join(pieces)):
+        whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(next(encoder.ids([text.encode()])), "<u4").tolist() == whole
+
+
+def test_a_vocabulary_that_cuts_words_otherwise_gets_them_whole(tmp_path):
+    from tokenizers import Regex, Tokenizer, pre_tokenizers
+
+    other = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    other.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.Split(Regex(r"\S+"), "removed", invert=True), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
+    other.save(str(tmp_path / "other.json"))
+    encoder = packing.Encoder(str(tmp_path / "other.json"))
+    text = "Hello, it's x7x!"
+    assert np.frombuffer(next(encoder.ids([text.encode()])), "<u4").tolist() == other.encode(text, add_special_tokens=False).ids
+
+
 def test_tokens_and_sequences(spark):
     from tokenizers import Tokenizer
 
