@@ -99,23 +99,20 @@ def stream_fact(
         union = stream if union is None else union.unionByName(stream, allowMissingColumns=True)
 
     def load(rows: DataFrame, batch_id: int) -> None:
-        rows = rows.persist()
-        try:
-            batch_ts = clock()
-            note = f"s{name}-{batch_id}"
-            for table in FACT_SOURCES:
-                columns = (*raw_schema(table).names, *AUDIT_COLUMNS)
-                of_table = rows.filter(F.col("_source_table") == table).select(*columns)
-                merge_silver(lake, of_table, table, batch_ts, key_types, note)
-            order_type = table_schema("pedidos", key_types)["id_pedido"].dataType
-            ids = rows.select(tolerant_cast("id_pedido", order_type).alias("id_pedido"))
-            # also those that its rows have left, noted now or by an earlier run of this micro-batch
-            notes = [b for b in lake.batches("silver", CHANGED) if b.endswith(f".{note}")]
-            for left in noted_orders(lake, order_type, notes):
-                ids = ids.unionByName(left)
-            merge_fact(lake, ids, batch_ts)
-        finally:
-            rows.unpersist()
+        # read from its files whenever it is needed: the first batch may be all there is, too much to hold
+        batch_ts = clock()
+        note = f"s{name}-{batch_id}"
+        for table in FACT_SOURCES:
+            columns = (*raw_schema(table).names, *AUDIT_COLUMNS)
+            of_table = rows.filter(F.col("_source_table") == table).select(*columns)
+            merge_silver(lake, of_table, table, batch_ts, key_types, note)
+        order_type = table_schema("pedidos", key_types)["id_pedido"].dataType
+        ids = rows.select(tolerant_cast("id_pedido", order_type).alias("id_pedido"))
+        # also those that its rows have left, noted now or by an earlier run of this micro-batch
+        notes = [b for b in lake.batches("silver", CHANGED) if b.endswith(f".{note}")]
+        for left in noted_orders(lake, order_type, notes):
+            ids = ids.unionByName(left)
+        merge_fact(lake, ids, batch_ts)
 
     return _for_each_batch(union, load, place)
 
