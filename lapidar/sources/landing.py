@@ -51,7 +51,7 @@ def read_landing_marked(spark: SparkSession, root: str, table: str) -> DataFrame
 
 
 def write_landing(df: DataFrame, root: str, table: str) -> str:
-    """Replace the landing copy of a table: a folder of headered CSV parts.
+    """Replace the landing copy of a table: a folder of headered CSV parts, compressed.
 
     Readers split the files at line ends, so a value with a line break fails the write.
     """
@@ -59,7 +59,9 @@ def write_landing(df: DataFrame, root: str, table: str) -> str:
     for column in (f.name for f in df.schema if isinstance(f.dataType, StringType)):
         broken = F.raise_error(F.concat(F.lit(f"{table}.{column} holds a line break: "), F.col(column)))
         df = df.withColumn(column, F.when(F.col(column).rlike("[\\r\\n]"), broken).otherwise(F.col(column)))
-    df.write.mode("overwrite").options(**CSV).csv(path)
+    # a compressed file is read by one task: none gets more rows than one should have
+    packed = {"compression": "gzip", "maxRecordsPerFile": 5_000_000}
+    df.write.mode("overwrite").options(**CSV, **packed).csv(path)
     return path
 
 
