@@ -27,13 +27,13 @@ def test_silver_compares_in_slices(spark, lake, monkeypatch):
     for most in (jobs.SLICE_ROWS, 20):
         monkeypatch.setattr(jobs, "SLICE_ROWS", most)
         here = Lake(spark, f"{lake.root}/{most}")
-        batches = [_items(spark, (0, 60), "1.50"), _items(spark, (0, 60), "1.50"), _items(spark, (40, 120), "2.50")]
+        batches = [_items(spark, (0, 60), "1.50"), _items(spark, (0, 60), "1.50"), _items(spark, (40, 120), "2.50"), _items(spark, (0, 60), "-1")]
         told = [jobs.merge_silver(here, b, "itens_pedido", DAY, key_types) for b in batches]
         notes = here.read("silver", jobs.CHANGED).distinct()
         found.append((told, rows(here.read("silver", "itens_pedido")), rows(notes)))
         assert not here._glob(f"{here.root}/{jobs.WORK}/*")
     assert found[0] == found[1]
-    assert [r.gravadas for r in found[0][0]] == [60, 0, 80] and len(found[0][1]) == 120
+    assert [r.gravadas for r in found[0][0]] == [60, 0, 80, 0] and len(found[0][1]) == 120
 
 
 def test_fact_is_written_in_slices_that_show_together(spark, lake, monkeypatch):
